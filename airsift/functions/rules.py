@@ -14,10 +14,16 @@ def over_pm25_ceiling(parameter: Column, value: Column) -> Column:
 
 
 def archive_row_accepted(location: Column, instant: Column, parameter: Column, value: Column) -> Column:
-    """Keep rule of the archive over already parsed columns (an unreadable cell is NULL)."""
-    present = location.isNotNull() & instant.isNotNull() & parameter.isNotNull() & value.isNotNull()
-    plausible = (value != F.lit(C.SENTINEL)) & (value >= 0) & ~F.isnan(value)
-    return present & plausible & ~over_pm25_ceiling(parameter, value)
+    """Keep rule of the archive over already parsed columns (an unreadable cell is NULL).
+
+    A value from 0 up to the parameter's ceiling passes; that leaves out missing values,
+    the negative sentinel and NaN, which Spark orders above every number. Two
+    comparisons rather than one per rule, because each one parses the text again.
+    Parameters without a ceiling are compared with NaN, which every number is below.
+    """
+    present = location.isNotNull() & instant.isNotNull() & parameter.isNotNull()
+    ceiling = F.when(F.lower(parameter) == "pm25", F.lit(C.PM25_CEILING)).otherwise(F.lit(float("nan")))
+    return present & (value >= 0) & (value < ceiling)
 
 
 def known_parameter(parameter: Column) -> Column:

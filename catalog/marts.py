@@ -17,7 +17,8 @@ DAYS = ["location_id", "measurement_date"]
 
 # Staging and marts -------------------------------------------------------------------
 
-register("stg_measurements_m01_prj01", lambda i: i.stg, "select * from stg")
+register("stg_measurements_m01_prj01", lambda i: i.stg_from_text, "select * from stg")
+register("typed_staging_m01", lambda i: i.stg, "select * from stg")
 register("stg_weather_m02_prj06", lambda i: i.stg_weather, "select * from stg_weather")
 register("int_measurements_enriched_m03_jn01", lambda i: i.enriched, "select * from enriched")
 register("int_weather_enriched_m04_jn02", lambda i: i.weather_enriched, "select * from weather_enriched")

@@ -1,6 +1,6 @@
 """Run registered queries on Spark and their SQL on DuckDB and compare all values.
 
-    python tests/compare.py [folder] [name part]
+    python tests/compare.py [folder] [name part ...]
 """
 
 from __future__ import annotations
@@ -77,14 +77,14 @@ def difference(spark, connection, folder: str, query, sql: str) -> str:
     return ""
 
 
-def main(folder: str = "/root/testdata/sf0.01", part: str = "") -> int:
+def main(folder: str = "/root/testdata/sf0.01", *parts: str) -> int:
     from __spark_entry__ import oracle_sql, queries
     from airsift.session import local_session
 
     spark, connection, sql = local_session("compare"), connect(folder), oracle_sql()
     failures = 0
     for name, query in queries().items():
-        if part not in name:
+        if parts and not any(part in name for part in parts):
             continue
         start = time.time()
         try:
