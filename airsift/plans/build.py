@@ -8,12 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airsift.operators import city, daily, features, forecast, profiles, quality, staging
 from airsift.plans.writers import write_table
 
 Tables = dict[str, DataFrame]
 REPORT_ONLY = "report_only"
+DAY = "measurement_date"
 
 
 @dataclass(frozen=True)
@@ -30,12 +32,21 @@ class Model:
     # A day of the result depends on the same day of its inputs only.
     per_day: bool = False
 
+    def from_date(self, rows: DataFrame, since: dt.date) -> DataFrame:
+        """The part of the table on and after a day, as a partition filter where it is stored."""
+        return rows.where(F.col(self.partition_by[0] if self.partition_by else DAY) >= F.lit(since))
+
 
 def _model(name, derive, needs, by_day=None, tags=(), stored=True, per_day=False) -> Model:
     return Model(name, derive, tuple(needs), (by_day,) if by_day else (), frozenset(tags), stored, per_day)
 
 
-DAY = "measurement_date"
+MONTH = "measurement_month"
+
+
+def _with_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MONTH, F.trunc(DAY, "MM"))
+
 
 # The staged readings are read by three marts, so their typed form is written once as
 # Parquet: text archives are slow to parse and gzip files cannot be split.
@@ -45,12 +56,12 @@ MODELS = [
     _model("stg_weather", lambda t: staging.stage_weather(t["weather_raw"]),
            ["weather_raw"], stored=False, per_day=True),
     _model("int_measurements_enriched",
-           lambda t: staging.enrich_measurements(t["stg_measurements"], t["stations"]),
-           ["stg_measurements", "stations"], DAY, per_day=True),
-    _model("int_weather_enriched", lambda t: staging.enrich_weather(t["stg_weather"], t["stations"]),
-           ["stg_weather", "stations"], DAY, per_day=True),
+           lambda t: _with_month(staging.enrich_measurements(t["stg_measurements"], t["stations"])),
+           ["stg_measurements", "stations"], MONTH, per_day=True),
+    _model("int_weather_enriched", lambda t: _with_month(staging.enrich_weather(t["stg_weather"], t["stations"])),
+           ["stg_weather", "stations"], MONTH, per_day=True),
     _model("mart_daily_air_quality",
-           lambda t: daily.mart_daily_air_quality(t["int_measurements_enriched"].drop(*staging.STATION_ATTRIBUTES), t["stations"]),
+           lambda t: daily.mart_daily_air_quality(t["int_measurements_enriched"], t["stations"]),
            ["int_measurements_enriched", "stations"], DAY, per_day=True),
     _model("mart_daily_aqi", lambda t: daily.mart_daily_aqi(t["mart_daily_air_quality"]),
            ["mart_daily_air_quality"], DAY, per_day=True),
@@ -101,33 +112,40 @@ def build_all(
     target: str,
     exclude_tags: Collection[str] = (),
     since: dt.date | None = None,
+    folders: bool = True,
 ) -> Tables:
     """Derive and write every selected model under ``target``; return the stored tables.
 
     ``sources``: ``measurements_raw``, ``weather_raw``, ``stations``, ``holidays`` and,
     for forecast accuracy, ``mart_daily_forecast``. Each model reads its inputs back
-    from storage, which cuts the lineage and lets a lost executor recompute one model
-    at most. With ``since``, the per-day models rewrite only the dates from that day on,
-    which keep their other partitions; all other models are rebuilt from whole tables.
+    from storage, which cuts the lineage: losing an executor costs at most the work of
+    one model. With ``since``, taken back to the first of its month, the per-day models
+    read and rewrite only the partitions from then on and keep the earlier ones; all
+    other models are rebuilt from whole tables. ``folders=False`` stores every table
+    without partition folders, which suits archives of a few gigabytes, where a folder
+    per day means thousands of tiny files; it excludes ``since``.
     """
-    tables = dict(sources)
-    recent = F.col(DAY) >= F.lit(since) if since else None
+    if since and not folders:
+        raise ValueError("since rewrites partition folders, so the tables must have them")
+    tables, recent = dict(sources), dict(sources)
+    first_day = since.replace(day=1) if since else None
     for model in selected_models(sources, exclude_tags):
-        derived = model.derive(tables)
-        if not model.stored:
-            tables[model.name] = derived
-            continue
-        path = f"{target.rstrip('/')}/{model.name}"
-        touched_only = since is not None and model.per_day
-        write_table(derived.where(recent) if touched_only else derived, path, model.partition_by, touched_only)
-        tables[model.name] = spark.read.schema(_stored_schema(derived, model)).parquet(path)
+        touched_only = first_day is not None and model.per_day
+        derived = model.derive(recent if touched_only else tables)
+        if model.stored:
+            path = f"{target.rstrip('/')}/{model.name}"
+            partition_by = model.partition_by if folders else ()
+            write_table(derived, path, partition_by, touched_only)
+            derived = spark.read.schema(_stored_schema(derived, partition_by)).parquet(path)
+        tables[model.name] = derived
+        recent[model.name] = model.from_date(derived, first_day) if touched_only else derived
     return tables
 
 
-def _stored_schema(derived: DataFrame, model: Model):
+def _stored_schema(derived: DataFrame, partition_by: tuple[str, ...]) -> StructType:
     """Column types are known, so reading back needs no inference job."""
-    order = [c for c in derived.columns if c not in model.partition_by] + list(model.partition_by)
-    return derived.select(*order).schema
+    order = [name for name in derived.columns if name not in partition_by]
+    return derived.select(*order, *partition_by).schema
 
 
 def build_and_check(
@@ -136,7 +154,8 @@ def build_and_check(
     target: str,
     as_of: dt.date,
     exclude_tags: Collection[str] = (REPORT_ONLY,),
+    folders: bool = True,
 ) -> tuple[Tables, DataFrame]:
     """Build, then check; failing rows are stored beside the marts and never stop the build."""
-    tables = build_all(spark, sources, target, exclude_tags)
+    tables = build_all(spark, sources, target, exclude_tags, folders=folders)
     return tables, quality.run_checks(tables, as_of, f"{target.rstrip('/')}/_audit")

@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WEATHER_FOLDERS = ["location_id", "date"]
 FORECAST_FOLDERS = ["generated_at", "model"]
 
+# How AQE merges the shuffle partitions of a write. Many small folders: the cost is
+# opening files, so keep the tasks parallel. No folders: aim at full-size files.
+_COALESCE = "spark.sql.adaptive.coalescePartitions"
+FOLDER_SIZING = {f"{_COALESCE}.parallelismFirst": "true", f"{_COALESCE}.minPartitionSize": "64KB"}
+FILE_SIZING = {f"{_COALESCE}.parallelismFirst": "false"}
+
+
+@contextmanager
+def write_sizing(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the duration of one write."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), replace_touched_only: bool = False
@@ -25,7 +44,8 @@ def write_table(
     if partition_by:
         mode = "dynamic" if replace_touched_only else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
-    writer.parquet(path)
+    with write_sizing(df.sparkSession, FOLDER_SIZING if partition_by else FILE_SIZING):
+        writer.parquet(path)
 
 
 def write_forecasts(df: DataFrame, path: str) -> None:
@@ -41,7 +61,8 @@ def write_weather_landing(df: DataFrame, path: str) -> None:
         F.date_format(F.col("date").cast("date"), "yyyy-MM-dd").alias("day"),
     )
     writer = rows.hint("rebalance", "station", "day").write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("station", "day").json(path)
+    with write_sizing(df.sparkSession, FOLDER_SIZING):
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("station", "day").json(path)
 
 
 def arrival_folders(moment: Column) -> list[Column]:

@@ -38,7 +38,7 @@ def backfill(
 def read_stream_landing(spark: SparkSession, path: str) -> DataFrame:
     """Landed live readings: gzip JSON lines in ``yyyy/MM/dd/HH`` folders.
 
-    The folder levels carry no names, so the arrival time is taken from the path.
+    The arrival time is taken from the path.
     To prune, pass the folders wanted as the path, for instance ``.../2024/01/*/*``.
     """
     rows = (
@@ -47,7 +47,8 @@ def read_stream_landing(spark: SparkSession, path: str) -> DataFrame:
         .json(path)
         .withColumn("_folder", F.col("_metadata.file_path"))
     )
-    pattern = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
+    # Folders are named 2024/01/31/07 or, by the landing sink here, y=2024/m=01/d=31/h=07.
+    pattern = r"/(?:y=)?(\d{4})/(?:m=)?(\d{2})/(?:d=)?(\d{2})/(?:h=)?(\d{2})/[^/]*$"
     names = ["arrival_year", "arrival_month", "arrival_day", "arrival_hour"]
     parts = [
         F.regexp_extract("_folder", pattern, position).try_cast("int").alias(name)

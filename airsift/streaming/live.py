@@ -13,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from airsift import schemas
 from airsift.operators import staging
-from airsift.plans.writers import arrival_folders
+from airsift.plans.writers import FOLDER_SIZING, arrival_folders, write_sizing, write_table
 
 LANDING_FOLDERS = ["y", "m", "d", "h"]
+ERROR_FOLDERS = ["y", "m", "d"]
 LANDING_TRIGGER = "300 seconds"
 
 
@@ -54,6 +55,12 @@ def enrich_live(readings: DataFrame, sensors: DataFrame) -> DataFrame:
     return joined.withColumns(filled).drop(*[c for c in joined.columns if c.startswith("known_")])
 
 
+def _write_json(rows: DataFrame, folders: list[str], path: str) -> None:
+    """Gzip JSON lines per folder, a station's rows side by side; AQE splits a folder too big for a task."""
+    placed = rows.hint("rebalance", *folders).sortWithinPartitions(*folders, "location_id")
+    placed.write.mode("overwrite").partitionBy(*folders).option("compression", "gzip").json(path)
+
+
 def land_batch(target: str, errors: str, metrics: str | None, arrival: Column) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch: valid rows by arrival hour, rejected rows apart, counts as metrics.
 
@@ -63,21 +70,16 @@ def land_batch(target: str, errors: str, metrics: str | None, arrival: Column) -
 
     def write(batch: DataFrame, batch_id: int) -> None:
         marked = staging.split_live_readings(batch).persist()
+        folders = arrival_folders(arrival)
+        valid = marked.where("is_valid").drop("is_valid", "reason").select("*", *folders)
+        rejected = marked.where(~F.col("is_valid")).drop("is_valid").select("*", *folders[:3])
         try:
-            folders = arrival_folders(arrival)
-            valid = marked.where("is_valid").drop("is_valid", "reason").select("*", *folders)
-            # Rows of one station stay together; a busy station may be split by AQE.
-            valid.hint("rebalance", *LANDING_FOLDERS, "location_id").write.mode("overwrite").partitionBy(
-                *LANDING_FOLDERS
-            ).option("compression", "gzip").json(f"{target}/batch={batch_id}")
-            rejected = marked.where(~F.col("is_valid")).drop("is_valid").select("*", *folders[:3])
-            rejected.write.mode("overwrite").partitionBy("y", "m", "d").option("compression", "gzip").json(
-                f"{errors}/batch={batch_id}"
-            )
+            with write_sizing(batch.sparkSession, FOLDER_SIZING):
+                _write_json(valid, LANDING_FOLDERS, f"{target}/batch={batch_id}")
+                _write_json(rejected, ERROR_FOLDERS, f"{errors}/batch={batch_id}")
             if metrics is not None:
-                staging.rejection_counts(batch).withColumn("ts", F.current_timestamp()).coalesce(1).write.mode(
-                    "overwrite"
-                ).parquet(f"{metrics}/batch={batch_id}")
+                counts = staging.rejection_counts(batch).withColumn("ts", F.current_timestamp())
+                write_table(counts, f"{metrics}/batch={batch_id}")
         finally:
             marked.unpersist()
 

@@ -150,6 +150,10 @@ class Inputs:
     def _lines(self) -> DataFrame:
         return self.table("lineitem").join(self.table("supplier"), F.expr("l_suppkey = s_suppkey"))
 
+    @cached_property
+    def readings(self) -> DataFrame:
+        return self._lines.selectExpr(*READINGS)
+
     @cached_property
     def measurements_raw(self) -> DataFrame:
         return self._lines.selectExpr(*MEASUREMENTS_RAW)
@@ -186,7 +190,7 @@ class Inputs:
 
     @cached_property
     def stg(self) -> DataFrame:
-        return staging.stage_measurements(self._lines.selectExpr(*READINGS))
+        return staging.stage_measurements(self.readings)
 
     @cached_property
     def stg_weather(self) -> DataFrame:
