@@ -22,12 +22,15 @@ def completeness(
     An empty mart counts as no active station today. Old data raises no alert, since
     a late archive is not a failure of the job.
     """
-    per_day = daily_aqi.groupBy("measurement_date").agg(
-        F.count_distinct("location_id").cast("int").alias("stations")
-    )
-    newest = per_day.agg(
-        F.coalesce(F.max("measurement_date"), F.lit(as_of)).alias("check_date"),
-        F.coalesce(F.max_by("stations", "measurement_date"), F.lit(0)).alias("active"),
+    # Joining on the newest date prunes the scan to that day's partition.
+    newest_date = daily_aqi.agg(F.max("measurement_date").alias("measurement_date"))
+    newest = (
+        daily_aqi.select("measurement_date", "location_id")
+        .join(newest_date, "measurement_date")
+        .agg(
+            F.coalesce(F.max("measurement_date"), F.lit(as_of)).alias("check_date"),
+            F.count_distinct("location_id").cast("int").alias("active"),
+        )
     )
     age = F.date_diff(F.lit(as_of), "check_date")
     return newest.select(

@@ -27,6 +27,9 @@ class Model:
     needs: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
     tags: frozenset[str] = field(default_factory=frozenset)
+    # Raw-sized tables: spread and sort by these columns, so that later scans of a
+    # station read few files and combine well before their shuffle.
+    cluster_by: tuple[str, ...] = ()
     # Lazy models are derived again by each reader instead of being written.
     stored: bool = True
     # A day of the result depends on the same day of its inputs only.
@@ -37,8 +40,9 @@ class Model:
         return rows.where(F.col(self.partition_by[0] if self.partition_by else DAY) >= F.lit(since))
 
 
-def _model(name, derive, needs, by_day=None, tags=(), stored=True, per_day=False) -> Model:
-    return Model(name, derive, tuple(needs), (by_day,) if by_day else (), frozenset(tags), stored, per_day)
+def _model(name, derive, needs, by_day=None, tags=(), stored=True, per_day=False, cluster_by=()) -> Model:
+    folders = (by_day,) if by_day else ()
+    return Model(name, derive, tuple(needs), folders, frozenset(tags), tuple(cluster_by), stored, per_day)
 
 
 MONTH = "measurement_month"
@@ -57,9 +61,9 @@ MODELS = [
            ["weather_raw"], stored=False, per_day=True),
     _model("int_measurements_enriched",
            lambda t: _with_month(staging.enrich_measurements(t["stg_measurements"], t["stations"])),
-           ["stg_measurements", "stations"], MONTH, per_day=True),
+           ["stg_measurements", "stations"], MONTH, per_day=True, cluster_by=["location_id", DAY]),
     _model("int_weather_enriched", lambda t: _with_month(staging.enrich_weather(t["stg_weather"], t["stations"])),
-           ["stg_weather", "stations"], MONTH, per_day=True),
+           ["stg_weather", "stations"], MONTH, per_day=True, cluster_by=["location_id", DAY]),
     _model("mart_daily_air_quality",
            lambda t: daily.mart_daily_air_quality(t["int_measurements_enriched"], t["stations"]),
            ["int_measurements_enriched", "stations"], DAY, per_day=True),
@@ -135,7 +139,7 @@ def build_all(
         if model.stored:
             path = f"{target.rstrip('/')}/{model.name}"
             partition_by = model.partition_by if folders else ()
-            write_table(derived, path, partition_by, touched_only)
+            write_table(derived, path, partition_by, touched_only, model.cluster_by)
             derived = spark.read.schema(_stored_schema(derived, partition_by)).parquet(path)
         tables[model.name] = derived
         recent[model.name] = model.from_date(derived, first_day) if touched_only else derived

@@ -31,15 +31,22 @@ def write_sizing(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), replace_touched_only: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    replace_touched_only: bool = False,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Write Snappy Parquet, partition columns last.
 
     The rebalance hint gathers the rows of a partition folder into few files, splits
-    a folder that outgrows a task and merges small shuffle partitions.
+    a folder that outgrows a task and merges small shuffle partitions. ``cluster_by``
+    spreads large folders over more tasks and sorts their files.
     """
     columns = [name for name in df.columns if name not in partition_by] + list(partition_by)
-    balanced = df.select(*columns).hint("rebalance", *partition_by)
+    balanced = df.select(*columns).hint("rebalance", *partition_by, *cluster_by)
+    if cluster_by:
+        balanced = balanced.sortWithinPartitions(*partition_by, *cluster_by)
     writer = balanced.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         mode = "dynamic" if replace_touched_only else "static"

@@ -11,7 +11,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airsift import schemas
 from airsift.operators import city, daily, features, forecast, profiles, staging
 from airsift.session import configure
 from airsift.sources.files import typed_holidays
@@ -162,10 +161,13 @@ class Inputs:
     def stg_from_text(self) -> DataFrame:
         return staging.stage_measurements(self.measurements_raw)
 
+    @cached_property
+    def weather_source(self) -> DataFrame:
+        return self.table("orders").join(self.table("customer"), F.expr("o_custkey = c_custkey"))
+
     @cached_property
     def weather_raw(self) -> DataFrame:
-        joined = self.table("orders").join(self.table("customer"), F.expr("o_custkey = c_custkey"))
-        return joined.selectExpr(*WEATHER_RAW)
+        return self.weather_source.selectExpr(*WEATHER_RAW)
 
     @cached_property
     def live(self) -> DataFrame:
@@ -181,8 +183,8 @@ class Inputs:
 
     @cached_property
     def holidays_raw(self) -> DataFrame:
-        rows = [(day, name, str(flag)) for day, name, flag in HOLIDAYS]
-        return self.spark.createDataFrame(rows, schemas.HOLIDAYS)
+        rows = ", ".join(f"('{day}', '{name}', '{flag}')" for day, name, flag in HOLIDAYS)
+        return self.spark.sql(f"select * from values {rows} as t(date, holiday_name, is_tet_period)")
 
     @cached_property
     def holidays(self) -> DataFrame:

@@ -187,7 +187,11 @@ register(
 )
 register(
     "distinct_counts_agg02",
-    lambda i: i.stg.groupBy("parameter").agg(
+    # Duplicates go first, map-side: counting several columns distinctly multiplies the rows.
+    lambda i: i.stg.select("parameter", "sensor_id", "measurement_date", "location_id")
+    .distinct()
+    .groupBy("parameter")
+    .agg(
         F.count_distinct("sensor_id").alias("sensors"),
         F.count_distinct("measurement_date").alias("days"),
         F.count_distinct("location_id").alias("stations_seen"),

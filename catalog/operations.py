@@ -12,7 +12,7 @@ from airsift.plans import build, forecast_job, writers
 from airsift.session import shared_folder
 from airsift.sources import files, incremental, payloads
 from airsift.streaming import live
-from catalog.inputs import AS_OF, LIVE_AS_OF, Inputs
+from catalog.inputs import AS_OF, LIVE_AS_OF, WEATHER_RAW, Inputs
 from catalog.oracle_ctes import aqi_category_sql, index_sql
 from catalog.registry import register
 
@@ -386,15 +386,16 @@ register(
 
 
 def _hourly_payloads(i: Inputs) -> DataFrame:
-    """One answer per station and day."""
+    """Answers of at most a hundred hours of one station."""
     hours = F.struct(
         F.concat("date", F.lit("T"), F.lpad(F.col("hour_utc").cast("string"), 2, "0"), F.lit(":00")).alias("time"),
         *[F.col(column).alias(name) for name, column in payloads.HOURLY_FIELDS.items()],
     )
-    days = i.weather_raw.groupBy("location_id", "date").agg(F.collect_list(hours).alias("hours"))
+    numbered = i.weather_source.selectExpr(*WEATHER_RAW, "o_orderkey div 100 as part")
+    answers = numbered.groupBy("location_id", "part").agg(F.collect_list(hours).alias("hours"))
     arrays = F.struct(*[F.col(f"hours.{name}").alias(name) for name in ["time", *payloads.HOURLY_FIELDS]])
     text = F.to_json(F.struct(arrays.alias("hourly")), {"ignoreNullFields": "false"})
-    return days.select("location_id", text.alias("payload"))
+    return answers.select("location_id", text.alias("payload"))
 
 
 def _even_days(i: Inputs) -> DataFrame:
