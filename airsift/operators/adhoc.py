@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.functions import constants as C
+from airsift.operators.daily import trusted_pm25
 
 
 def _value() -> Column:
@@ -84,9 +85,7 @@ def parameter_month(raw: DataFrame, parameter: str, year: int, month: int) -> Da
 
 
 def city_plausibility(daily_aqi: DataFrame, daily_aq: DataFrame) -> DataFrame:
-    pm25 = daily_aq.where((F.col("parameter") == "pm25") & (F.col("is_outlier_station") == 0)).select(
-        "location_id", "measurement_date", "avg_value"
-    )
+    pm25 = trusted_pm25(daily_aq).select("location_id", "measurement_date", "avg_value")
     return (
         daily_aqi.join(pm25, ["location_id", "measurement_date"])
         .groupBy("city")

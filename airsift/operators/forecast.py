@@ -19,6 +19,7 @@ from pyspark.sql.window import WindowSpec
 
 from airsift.functions import aqi, stats
 from airsift.functions import constants as C
+from airsift.operators.daily import trusted_pm25
 
 NORMAL_95 = 1.96
 STATION = ["location_id", "location_name", "city"]
@@ -323,15 +324,17 @@ def mart_forecast_accuracy(forecasts: DataFrame, daily_aq: DataFrame) -> DataFra
 
     Days without an actual value keep NULL errors and metrics. They form their own
     window partitions, so the rolling frames count observed days only and the rows
-    need no second pass.
+    need no second pass. Placing the forecasts by station and date serves both the
+    choice of the newest run and the join.
     """
-    actual = (
-        daily_aq.where((F.col("parameter") == "pm25") & (F.col("is_outlier_station") == 0))
-        .select("location_id", F.col("measurement_date").alias("forecast_date"), F.col("avg_value").alias("actual_pm25"))
+    actual = trusted_pm25(daily_aq).select(
+        "location_id",
+        F.col("measurement_date").alias("forecast_date"),
+        F.col("avg_value").alias("actual_pm25"),
     )
     gap = F.col("forecast_pm25") - F.col("actual_pm25")
     matched = (
-        latest_runs(forecasts)
+        latest_runs(forecasts.repartition("location_id", "forecast_date"))
         .join(actual, ["location_id", "forecast_date"], "left")
         .withColumns(
             {

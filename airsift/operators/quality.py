@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from airsift.functions import aqi
 from airsift.functions import constants as C
+from airsift.operators.daily import trusted
 
 Tables = dict[str, DataFrame]
 
@@ -62,7 +63,8 @@ def stale(df: DataFrame, as_of: dt.date, max_age_days: int, column: str = "measu
 
 def composite_is_not_maximum(daily_aqi: DataFrame, daily_aq: DataFrame) -> DataFrame:
     expected = (
-        daily_aq.where(F.col("aqi_value").isNotNull() & (F.col("is_outlier_station") == 0))
+        trusted(daily_aq)
+        .where(F.col("aqi_value").isNotNull())
         .groupBy("measurement_date", "location_id")
         .agg(F.max("aqi_value").alias("expected_composite"))
     )

@@ -12,6 +12,7 @@ import sys
 import time
 
 import duckdb
+from pyspark.sql import SparkSession
 
 ROOT = pathlib.Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
@@ -79,9 +80,11 @@ def difference(spark, connection, folder: str, query, sql: str) -> str:
 
 def main(folder: str = "/root/testdata/sf0.01", *parts: str) -> int:
     from __spark_entry__ import oracle_sql, queries
-    from airsift.session import local_session
 
-    spark, connection, sql = local_session("compare"), connect(folder), oracle_sql()
+    # A session without the library's settings: queries bring their own.
+    spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, sql = connect(folder), oracle_sql()
     failures = 0
     for name, query in queries().items():
         if parts and not any(part in name for part in parts):
