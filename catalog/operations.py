@@ -398,16 +398,13 @@ def _hourly_payloads(i: Inputs) -> DataFrame:
     return answers.select("location_id", text.alias("payload"))
 
 
-def _even_days(i: Inputs) -> DataFrame:
-    return i.stg_weather.where(F.day("measurement_date") % 2 == 0).select(F.col("measurement_date").alias("date"))
-
-
 register(
     "explode_hourly_src07",
-    lambda i: payloads.explode_hourly(_hourly_payloads(i), _even_days(i)),
+    # The dates asked for are the days that have readings.
+    lambda i: payloads.explode_hourly(_hourly_payloads(i), i.stg.select(F.col("measurement_date").alias("date"))),
     """select location_id, strftime(date, '%Y-%m-%d') as date, hour_utc, temperature_2m, rh_2m, wind_speed, wind_dir,
               precipitation_mm, surface_pressure_hpa, boundary_layer_height_m
-       from weather_raw where date in (select measurement_date from stg_weather where day(measurement_date) % 2 = 0)""",
+       from weather_raw where date in (select measurement_date from stg)""",
 )
 
 
@@ -489,8 +486,9 @@ def _listing(i: Inputs) -> DataFrame:
 
 
 def _ledger(i: Inputs) -> DataFrame:
-    return i.table("documents").where("doc_id % 2 = 0").selectExpr(
-        "concat('file-', cast(doc_id as string)) as path",
+    """Even files are known, some with an older etag; odd entries are files no longer listed."""
+    return i.table("documents").selectExpr(
+        "concat(if(doc_id % 2 = 0, 'file-', 'gone-'), cast(doc_id as string)) as path",
         "cast(if(doc_id % 10 = 0, n_chars + 1, n_chars) as string) as etag",
     )
 
@@ -509,9 +507,9 @@ register(
 )
 register(
     "ledger_after_ingest_src10",
-    lambda i: incremental.updated_ledger(_listing(i).where("station_id < 15"), _ledger(i)),
-    """select 'file-' || doc_id as path, cast(n_chars + case when doc_id % 21 >= 15 and doc_id % 10 = 0 then 1 else 0 end as varchar) as etag
-       from documents where doc_id % 21 < 15 or doc_id % 2 = 0""",
+    lambda i: incremental.updated_ledger(_listing(i), _ledger(i)),
+    """select 'file-' || doc_id as path, cast(n_chars as varchar) as etag from documents
+       union all select 'gone-' || doc_id, cast(n_chars as varchar) from documents where doc_id % 2 = 1""",
 )
 register(
     "weather_backfill_src13",
