@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import near_dedup
+from airsift.llm import decontaminate, near_dedup, pii, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,27 @@ def query(function):
     return function
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = quality_rules.trusted_documents(_table(spark, folder, "labels"))
+    return quality_rules.quality(_table(spark, folder, "documents"), trusted)
+
+
 @query
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"))
