@@ -1,8 +1,9 @@
 """Quality rules: counts of words, symbols and repeats, and a hashed n-gram log-likelihood ratio.
 
 The ratio compares two multinomials over hashed word n-grams (single words and pairs): one counted on trusted
-documents, one on the whole corpus, both with add-one smoothing. A document's score is the mean over its n-grams of
-log(trusted / corpus), so long and short texts compare. A document is kept if no count rule fails and its score is at
+documents, one on the whole corpus, with ``SMOOTHING`` added to a bucket's count among trusted documents and to the
+count expected there from the corpus, so that rare buckets say little. A document's score is the mean over its n-grams
+of log(trusted / corpus), so long and short texts compare. A document is kept if no count rule fails and its score is at
 least the threshold; nothing is drawn at random.
 """
 
@@ -21,6 +22,7 @@ from airsift.llm.store import documents_of, stored
 BUCKETS = 1 << 16
 # Trusted rows that are counted: those with the least hashed ids. The corpus is counted in full.
 TRUSTED_ROWS = 20_000
+SMOOTHING = 10.0
 THRESHOLD = -0.1
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
@@ -77,8 +79,8 @@ def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
     counts[:, found["bucket"].to_numpy(dtype=np.int64)] = found[["trusted", "corpus"]].to_numpy(dtype=np.float64).T
     if not counts[0].sum():
         return np.zeros(BUCKETS)
-    counts += 1
-    return np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+    expected = counts[1] * (counts[0].sum() / counts[1].sum())
+    return np.log((counts[0] + SMOOTHING) / (expected + SMOOTHING))
 
 
 def _repeat_words(words: tb.Words, values: np.ndarray) -> np.ndarray:
@@ -160,7 +162,7 @@ def quality(documents: DataFrame, trusted: DataFrame, threshold: float = THRESHO
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:
-    return labels.where("quality = 1 and toxic = 0").select("doc_id")
+    return labels.where("quality = 1").select("doc_id")
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
