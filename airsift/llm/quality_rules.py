@@ -23,7 +23,7 @@ BUCKETS = 1 << 16
 # Trusted rows that are counted: those with the least hashed ids. The corpus is counted in full.
 TRUSTED_ROWS = 20_000
 SMOOTHING = 10.0
-THRESHOLD = -0.1
+THRESHOLD = -0.08
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 _SYMBOLS = np.zeros(256, dtype=np.int64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import decontaminate, near_dedup, pii, quality_rules, suffix_dedup
+from airsift.llm import decontaminate, language_id, near_dedup, pii, quality_crf, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +45,13 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"))
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_table(spark, folder, "documents"))
+
+
+@query
+def op9_quality_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_crf.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))

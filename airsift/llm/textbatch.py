@@ -45,9 +45,13 @@ class Prefixes:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         """At i: the sum over the bytes before i."""
-        self._reach(len(data))
-        out = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self.values[data] * self.up[: len(data)], out=out[1:])
+        return self.sums_of(self.values[data])
+
+    def sums_of(self, values: np.ndarray) -> np.ndarray:
+        """The same over random values that stand for other symbols than bytes."""
+        self._reach(len(values))
+        out = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * self.up[: len(values)], out=out[1:])
         return out
 
     def between(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
