@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import decontaminate, language_id, near_dedup, pii, quality_crf, quality_rules, suffix_dedup
+from airsift.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_crf, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,3 +55,9 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_quality_crf(spark: SparkSession, folder: str) -> DataFrame:
     return quality_crf.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _table(spark, folder, "labels").select("doc_id", mixing.label_domain().alias("domain"))
+    return mixing.mix(_table(spark, folder, "documents"), labels)
