@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_crf, quality_rules, suffix_dedup
+from airsift.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_crf, quality_rules, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,12 @@ def op9_quality_crf(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     labels = _table(spark, folder, "labels").select("doc_id", mixing.label_domain().alias("domain"))
     return mixing.mix(_table(spark, folder, "documents"), labels)
+
+
+@query
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = url_filter.label_pages(_table(spark, folder, "pages"), _table(spark, folder, "labels"))
+    return url_filter.judge(pages)
+
+
+SQL["op8_url_filter"] = url_filter.oracle()
