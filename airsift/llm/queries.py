@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_crf, quality_rules, suffix_dedup, url_filter
+from airsift.llm import chat_format, decontaminate, language_id, mixing, near_dedup, pii, quality_crf, quality_rules, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+@query
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.repair(_table(spark, folder, "conversations"))
+
+
 @query
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.personal_data(_table(spark, folder, "documents"))

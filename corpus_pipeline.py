@@ -4,17 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import near_dedup
+from airsift.llm import decontaminate, mixing, near_dedup, pii, quality_rules
 from airsift.llm.store import stored
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return near_dedup.keep_one_each(docs)
 
 
-STAGES = [("near_dedup", one_of_each_group)]
+def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return pii.mask(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", mixing.label_domain().alias("domain"))
+    return mixing.with_copies(docs, labels)
+
+
+STAGES = [
+    ("quality_rules", good_documents),
+    ("near_dedup", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("pii", without_personal_data),
+    ("mixing", mixed),
+]
 
-# Sketches, learned models and repairs have no SQL; tests compare the stages with brute force.
+# Sketches, learned models and masks have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
