@@ -5,7 +5,7 @@
 2. Documents get nonnegative rates. A domain's expected tokens are the sum over documents of rate * tokens *
    probability; they shall be the target weights times all tokens. The rates minimise
 
-       1/2 * sum over domains of (expected / wanted - 1)^2 * weight  +  PENALTY/2 * mean over tokens of (rate - 1)^2
+       1/2 * sum over domains of (expected share - weight)^2 / weight  +  PENALTY/2 * mean over tokens of (rate - 1)^2
 
    by projected gradient steps: each needs one distributed sum over all documents (as many numbers as domains), moves
    every rate by its gradient and puts negative rates to 0.
@@ -177,11 +177,13 @@ def fitted_rates(members: DataFrame, targets: dict[str, float]) -> DataFrame:
     total = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     if not total:
         return state
-    # Floor for the scale, so that a weight of 0 does not divide by 0.
-    scale = np.maximum(weights, 0.01)
-    # With e = expected / total, the first part is 1/2 * sum (e - w)^2 / scale; its curvature along rates is at most
-    # max 1 / scale, since tokens and probabilities sum to at most 1 each.
-    step = 1.0 / (1.0 / scale.min() + PENALTY)
+    # A floor for the scale, so that small weights do not outweigh all others.
+    scale = np.maximum(weights, 0.05)
+    # With e = expected / total, the first part is 1/2 * sum (e - w)^2 / scale; its curvature along rates is the largest
+    # eigenvalue of the domains' second moments over the scales, which one more sum gives.
+    products = [F.sum(F.col("n_tokens") * F.col(f"p_{a}") * F.col(f"p_{b}")) for a in names for b in names]
+    moments = np.array(state.agg(*(p.alias(f"m{k}") for k, p in enumerate(products))).first(), dtype=np.float64).reshape(len(names), -1) / total
+    step = 1.0 / (np.linalg.eigvalsh(moments / np.sqrt(np.outer(scale, scale))).max() + PENALTY)
     sums = [F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in names]
     momentum_state = state.withColumn("ahead", F.col("rate"))
     ahead = [F.sum(F.col("ahead") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in names]

@@ -5,7 +5,7 @@ of digits are generalised first. Then level by level, from the root:
 
 - a position with many values, most of them rare, is variable and becomes ``*``;
 - else branches whose share of good labelled pages does not differ from that of their siblings (a two-proportion test)
-  are merged into ``*``, and those that differ keep their own node, and so their own templates below.
+  are merged into ``*``, and those that differ are merged with those that differ to the same tenth of good pages.
 
 A template is rejected if its purity, the share of good pages among its labelled ones, smoothed towards the share among
 all, is below ``PURITY``. All of this runs on counts by host and digit-free path, which Spark sums before any shuffle;
@@ -83,7 +83,8 @@ def _template_table(pages: DataFrame) -> DataFrame:
         spread = F.col("labelled").cast("double") * rest * F.col("all_n_good") * bad_all
         differs = (spread > 0) & (gap * gap * F.col("all_labelled") >= F.lit(DIFFERENT) * spread)
         variable = (F.col("values") >= VARIABLE_VALUES) & (F.col("all_n") < VARIABLE_MEAN * F.col("values"))
-        decided = branches.join(whole, ["host", "template"]).select(*node, F.when(F.col("part").isNull(), "").when(differs & ~variable, F.concat(F.lit("/"), "part")).otherwise("/*").alias("step"))
+        tenth = F.expr("cast((10 * (n_good + 1)) div (labelled + 2) as string)")
+        decided = branches.join(whole, ["host", "template"]).select(*node, F.when(F.col("part").isNull(), "").when(differs & ~variable, F.concat(F.lit("/~"), tenth)).otherwise("/*").alias("step"))
         renamed = decided.toDF("_host", "_template", "_part", "step")
         same = (tree["host"] == renamed["_host"]) & (tree["template"] == renamed["_template"]) & tree["part"].eqNullSafe(renamed["_part"])
         tree = tree.join(renamed, same).drop("_host", "_template", "_part").withColumn("template", F.concat("template", "step")).drop("step")
@@ -143,7 +144,7 @@ def oracle() -> str:
             select host, template, part, case when part is null then ''
                 when not (vals >= {VARIABLE_VALUES} and an < {VARIABLE_MEAN} * vals) and l > 0 and al > l and ag > 0 and al > ag
                      and cast(g * (al - l) - (ag - g) * l as double) * cast(g * (al - l) - (ag - g) * l as double) * al
-                         >= {DIFFERENT} * (cast(l as double) * (al - l) * ag * (al - ag)) then '/' || part else '/*' end as step
+                         >= {DIFFERENT} * (cast(l as double) * (al - l) * ag * (al - ag)) then '/~' || cast((10 * (g + 1)) // (l + 2) as varchar) else '/*' end as step
             from (select *, count(part) over w as vals, sum(n) filter (where part is not null) over w as an,
                          sum(l) filter (where part is not null) over w as al, sum(g) filter (where part is not null) over w as ag
                   from branch{level} window w as (partition by host, template))),
