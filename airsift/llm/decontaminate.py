@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +90,7 @@ class _SizeClass:
         return np.unique(np.stack([np.repeat(texts, many), self.owners[at]], axis=1), axis=0)
 
 
-def _searcher(items: pd.DataFrame, containment: int):
+def _searcher(items, containment: int):  # items: the rows of ``item_sets`` as a pandas frame
     sets = [np.sort(np.asarray(s, dtype=np.int64).view(np.uint64)) for s in items["shingles"]]
     ids = pa.array(items["item_id"], type=pa.int64(), from_pandas=True)
     sizes = items["n"].to_numpy()

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
+from airsift.llm.store import small_batches
 
 ROWS_PER_LANGUAGE = 1_000
 MODEL_ENTRIES = 200_000
@@ -175,7 +176,7 @@ def _predicted(model: Model):
 
 def fit(documents: DataFrame) -> Model:
     """A model of the languages in ``lang``, from rows that are not held out."""
-    labelled = documents.select(
+    labelled = small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     totals = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}  # one row a language
@@ -200,7 +201,7 @@ def identify(documents: DataFrame, model: Model | None = None) -> DataFrame:
     rows are scored alike; an empty table gives no rows. ``lang`` and ``source`` are not read here.
     """
     model = model or fit(documents)
-    docs = documents.select(
+    docs = small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"), F.col("text").cast("string").alias("text")
     )
     return docs.mapInArrow(_predicted(model), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
-from airsift.llm.store import stored
+from airsift.llm.store import small_batches, stored
 
 # Labelled rows the classifier is fitted on: those with the least hashed ids.
 FIT_ROWS = 4_000
@@ -130,7 +130,7 @@ def fit(documents: DataFrame, labelled: DataFrame, domains: list[str]) -> Classi
     known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "domain").where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
     chosen = known.groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(rank, "doc_id").limit(FIT_ROWS)
     chosen = chosen.select(F.col("doc_id").alias("labelled"), "domain", rank.alias("rank"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["labelled"]).select("rank", "domain", "text")
     schema = "rank long, domain string, buckets array<int>, shares array<double>"
     rows = marked.mapInArrow(_fit_rows, schema).orderBy("rank", F.xxhash64("buckets")).limit(FIT_ROWS).toPandas()
@@ -157,7 +157,7 @@ def _memberships(model: Classifier):
 
 def memberships(documents: DataFrame, model: Classifier) -> DataFrame:
     """doc_id, tag (a hash of the text), n_tokens and p_<domain> of every document."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, tag int, n_tokens long, " + ", ".join(f"p_{name} double" for name in model.domains)
     return texts.withColumn("tag", F.coalesce(F.hash("text"), F.lit(0))).mapInArrow(_memberships(model), schema)
 

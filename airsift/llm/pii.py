@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airsift.llm.store import documents_of
+from airsift.llm.store import documents_of, small_batches
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "tel")
 ACCEPT = 0.5
@@ -196,7 +196,7 @@ def mask(documents: DataFrame) -> DataFrame:
             arrays[columns.index("text")] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    changed = documents.withColumn("text", F.col("text").cast("string")).select(columns)
+    changed = small_batches(documents).withColumn("text", F.col("text").cast("string")).select(columns)
     changed = changed.mapInArrow(rows, changed.schema)
     if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(documents.schema["n_chars"].dataType))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
+from airsift.llm.store import small_batches
 
 FIT_ROWS = 4_000
 FIT_LINES = 200_000
@@ -214,7 +215,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Field:
     )
     rank = F.xxhash64("doc_id")
     chosen = known.orderBy(rank, "doc_id").limit(FIT_ROWS).select(F.col("doc_id").alias("labelled"), "quality", rank.alias("rank"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["labelled"]).select("rank", "quality", "text")
     rows = marked.mapInArrow(_line_rows, "rank long, line long, quality int, features array<double>")
     lines = rows.orderBy("rank", "line").limit(FIT_LINES).toPandas()
@@ -246,7 +247,7 @@ def classify(documents: DataFrame, labels: DataFrame, field: Field | None = None
     are scored alike; an empty table gives no rows. Labels, lang, source and doc_id take no part in a score.
     """
     field = field or fit(documents, labels)
-    docs = documents.select(
+    docs = small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"), F.col("text").cast("string").alias("text")
     )
     return docs.mapInArrow(_scored(field), "doc_id long, held_out boolean, score double, predicted int")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
-from airsift.llm.store import documents_of, stored
+from airsift.llm.store import documents_of, small_batches
 
 BUCKETS = 1 << 16
 # Trusted rows that are counted: those with the least hashed ids. The corpus is counted in full.
@@ -170,7 +170,7 @@ def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     ratios = log_ratios(documents, trusted_documents(labels))
     judge = _judged(ratios, THRESHOLD)
-    columns = documents.columns
+    columns = small_batches(documents).columns
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

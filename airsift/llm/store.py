@@ -9,6 +9,8 @@ from airsift.session import shared_folder
 
 # A list of ids is sent to every executor only up to this many (16 MB of numbers); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
+# Texts in a batch between the JVM and Python.
+BATCH_ROWS = 500
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -29,6 +31,18 @@ def only_ids(frame: DataFrame, ids: DataFrame, on: list[str], how: str = "left_s
     return frame.join(renamed, condition, how)
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """``frame``, in a session that hands texts to Python in small batches.
+
+    Spark's default of 10,000 rows makes batches of texts of tens of megabytes, which the JVM and the Python worker
+    each hold several times.
+    """
+    conf = frame.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return frame
+
+
 def documents_of(frame: DataFrame) -> DataFrame:
     """Id and text alone, whatever other columns the table has."""
-    return frame.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return small_batches(frame).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
