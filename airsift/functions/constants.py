@@ -21,7 +21,6 @@ PM10_BANDS = [
     (355.0, 424.0, 201, 300),
     (425.0, 604.0, 301, 500),
 ]
-AQI_BANDS = {"pm25": PM25_BANDS, "pm10": PM10_BANDS}
 AQI_CEILING = 500
 AQI_CATEGORIES = [
     "Good",
@@ -84,7 +83,6 @@ MIXED_FROM = 0.4
 # Forecast job limits.
 FORECAST_HORIZON = 7
 HOLDOUT_DAYS = 30
-MAX_BACKTEST_STEPS = 30
 MIN_TRAIN_ROWS = 60
 MAX_STALENESS_DAYS = 90
 WEEKLY_TERM_FROM_ROWS = 14

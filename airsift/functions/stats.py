@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Rank error of percentile sketches is 1/accuracy. A group of fewer than accuracy/2
-# rows is never compressed, so its result is the exact discrete percentile.
+# Rank error of percentile sketches over raw rows is 1/accuracy.
 PERCENTILE_ACCURACY = 10_000
+# With this accuracy nothing is compressed below half a billion rows of a group: for
+# groups of daily rows the result is the exact discrete percentile.
+EXACT_ACCURACY = 1_000_000_000
 
 
 def rate_percent(condition: Column, digits: int = 1) -> Column:
@@ -15,9 +17,12 @@ def rate_percent(condition: Column, digits: int = 1) -> Column:
     return F.round(F.lit(100.0) * F.count_if(condition) / F.count(F.lit(1)), digits)
 
 
-def percentile(value: Column, share: float, accuracy: int = PERCENTILE_ACCURACY) -> Column:
-    """Discrete percentile from a mergeable sketch of bounded size."""
-    return F.percentile_approx(value, F.lit(share), F.lit(accuracy))
+def percentile(value: Column, share: float, accuracy: int = PERCENTILE_ACCURACY, exact: bool = False) -> Column:
+    """Discrete percentile: a mergeable sketch of bounded size, or all of the group's values if ``exact``.
+
+    Choose ``exact`` where groups hold daily rows; raw readings of a station are too many for it.
+    """
+    return F.percentile_approx(value, F.lit(share), F.lit(EXACT_ACCURACY if exact else accuracy))
 
 
 def safe_corr(x: Column, y: Column) -> Column:

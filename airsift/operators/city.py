@@ -79,7 +79,7 @@ def mart_exceedance_stats(daily_aq: DataFrame) -> DataFrame:
         stats.rate_percent(_over_who()).alias("who_exceedance_rate"),
         stats.rate_percent(_over_national()).alias("qcvn_exceedance_rate"),
         F.round(F.avg(_mean()), 2).alias("avg_pm25"),
-        F.round(stats.percentile(_mean(), 0.95), 2).alias("p95_pm25"),
+        F.round(stats.percentile(_mean(), 0.95, exact=True), 2).alias("p95_pm25"),
     )
 
 
@@ -90,7 +90,7 @@ def mart_annual_monthly_trend(daily_aq: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_days"),
         F.round(F.avg(_mean()), 2).alias("avg_pm25"),
         F.round(F.max(_mean()), 2).alias("max_pm25"),
-        F.round(stats.percentile(_mean(), 0.95), 2).alias("p95_pm25"),
+        F.round(stats.percentile(_mean(), 0.95, exact=True), 2).alias("p95_pm25"),
         stats.rate_percent(_over_who()).alias("who_exceedance_rate"),
         stats.rate_percent(_over_national()).alias("qcvn_exceedance_rate"),
     )

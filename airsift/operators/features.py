@@ -107,7 +107,7 @@ def mart_feature_stats(features: DataFrame) -> DataFrame:
             for key, name in CORRELATED_WITH_NEXT.items()
         ],
         F.round(F.avg(pm25), 2).alias("mean_pm25"),
-        F.round(stats.percentile(pm25, 0.5), 2).alias("median_pm25"),
+        F.round(stats.percentile(pm25, 0.5, exact=True), 2).alias("median_pm25"),
         F.round(F.stddev_samp(pm25), 2).alias("stddev_pm25"),
         F.round(F.min(pm25), 2).alias("min_pm25"),
         F.round(F.max(pm25), 2).alias("max_pm25"),

@@ -57,8 +57,10 @@ def metric_rows(df: DataFrame, metric: str, value: Column, at: Column, dimension
 
 def completeness_metrics(report: DataFrame, at: Column) -> DataFrame:
     """Missing stations and age of the mart."""
-    return metric_rows(report, "MissingStations", F.col("missing"), at).unionByName(
-        metric_rows(report, "DaysSinceLastNewMart", F.col("data_age_days"), at)
+    pairs = [("MissingStations", "missing"), ("DaysSinceLastNewMart", "data_age_days")]
+    both = F.array(*[F.struct(F.lit(metric).alias("metric"), F.col(name).cast("double").alias("value")) for metric, name in pairs])
+    return report.select(F.explode(both).alias("one"), at.cast("timestamp").alias("ts")).select(
+        "one.metric", F.lit("").alias("dimension"), "ts", "one.value"
     )
 
 
@@ -100,33 +102,35 @@ def default_rules(expected: int, alert_below: int) -> list[AlarmRule]:
 
 
 def evaluate_alarms(metrics: DataFrame, rules: Iterable[AlarmRule]) -> DataFrame:
-    """Each breaching period with its streak length and whether the alarm fires.
+    """Each breaching period with its streak length and whether the alarm fires; metrics are read once.
 
     A period without data does not breach, so it ends a streak: within a streak the
     period number and the row number grow together and their difference stays fixed.
     """
-    parts = []
-    for rule in rules:
-        period = F.floor(F.unix_timestamp("ts") / F.lit(rule.period_seconds)).alias("period")
-        measured = F.avg("value") if rule.average else F.max("value")
-        part = (
-            metrics.where(F.col("metric") == rule.metric)
-            .groupBy("metric", "dimension", period)
-            .agg(measured.alias("value"))
-            .where(F.col("value") > F.lit(float(rule.threshold)))
-            .withColumns(
-                {
-                    "periods_needed": F.lit(rule.periods),
-                    "period_start": F.timestamp_seconds(F.col("period") * rule.period_seconds),
-                }
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(place).alias("rule"), F.lit(rule.metric).alias("of"), F.lit(float(rule.threshold)).alias("threshold"),
+                F.lit(rule.periods).alias("periods"), F.lit(rule.period_seconds).alias("seconds"), F.lit(rule.average).alias("average"),
             )
+            for place, rule in enumerate(rules)
+        ]
+    )
+    own = F.filter(listed, lambda rule: rule["of"] == F.col("metric"))
+    ruled = metrics.select("metric", "dimension", "ts", "value", F.explode(own).alias("rule"))
+    period = F.floor(F.unix_timestamp("ts") / F.col("rule.seconds")).alias("period")
+    breaches = (
+        ruled.groupBy("metric", "dimension", "rule", period)
+        .agg(F.avg("value").alias("mean"), F.max("value").alias("highest"))
+        .withColumn("value", F.when(F.col("rule.average"), F.col("mean")).otherwise(F.col("highest")))
+        .where(F.col("value") > F.col("rule.threshold"))
+        .select(
+            "metric", "dimension", "period", "value", F.col("rule.rule").alias("rule"), F.col("rule.periods").alias("periods_needed"),
+            F.timestamp_seconds(F.col("period") * F.col("rule.seconds")).alias("period_start"),
         )
-        parts.append(part)
-    breaches = parts[0]
-    for part in parts[1:]:
-        breaches = breaches.unionByName(part)
-    by_period = Window.partitionBy("metric", "dimension").orderBy("period")
-    streak = Window.partitionBy("metric", "dimension", "streak_id").orderBy("period")
+    )
+    by_period = Window.partitionBy("metric", "dimension", "rule").orderBy("period")
+    streak = Window.partitionBy("metric", "dimension", "rule", "streak_id").orderBy("period")
     return (
         breaches.withColumn("streak_id", F.col("period") - F.row_number().over(by_period))
         .withColumn("streak", F.row_number().over(streak))

@@ -49,8 +49,18 @@ def typed_payload(rows: DataFrame, integers: Iterable[str] = (), numbers: Iterab
     return rows.select(*[typed(name).alias(name) for name in rows.columns])
 
 
-def map_points(latest: DataFrame) -> DataFrame:
-    """Typed map rows with their colour; rows without a usable id or position are skipped."""
+def _map_row_is_usable() -> Column:
+    """Id and position can be read, and so can AQI, PM2.5 and cigarettes unless they are blank."""
+    usable = F.col("location_id").try_cast("int").isNotNull()
+    for name in ("station_lat", "station_lon"):
+        usable = usable & F.col(name).try_cast("double").isNotNull()
+    for name, kind in (("composite_aqi", "int"), ("pm25_avg", "double"), ("cigarette_equivalent", "double")):
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        usable = usable & ((text == "") | F.col(name).try_cast(kind).isNotNull())
+    return usable
+
+
+def _with_map_columns(latest: DataFrame) -> DataFrame:
     return latest.select(
         F.col("location_id").try_cast("int").alias("location_id"),
         "location_name",
@@ -65,11 +75,17 @@ def map_points(latest: DataFrame) -> DataFrame:
         F.round(F.col("cigarette_equivalent").try_cast("double"), 1).alias("cigarette_equivalent"),
         F.col("measurement_date").cast("string").alias("measurement_date"),
         aqi.colour(F.col("health_category")).alias("colour"),
-    ).where(F.col("location_id").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        _map_row_is_usable().alias("usable"),
+    )
+
+
+def map_points(latest: DataFrame) -> DataFrame:
+    """Typed map rows with their colour; a row with an unreadable cell is skipped."""
+    return _with_map_columns(latest).where("usable").drop("usable")
 
 
 def geojson(latest: DataFrame) -> DataFrame:
-    """One row with the map as GeoJSON text.
+    """One row with the map as GeoJSON text, features by city, name and id.
 
     The answer is one document, so its features come together in one row; the input is
     one row per allowlisted station, never readings.
@@ -84,16 +100,16 @@ def geojson(latest: DataFrame) -> DataFrame:
         F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")).alias("geometry"),
         F.struct(*properties).alias("properties"),
     )
-    points = map_points(latest).select(F.col("measurement_date").alias("day"), feature.alias("feature"))
-    # Skipped rows still count for updated_at.
-    days = latest.select(F.col("measurement_date").cast("string").alias("day"), F.lit(None).alias("feature"))
+    placed = F.struct(F.col("city"), F.col("location_name"), F.col("location_id"), feature.alias("feature"))
+    # collect_list leaves NULLs out; skipped rows still count for updated_at.
+    features = F.array_sort(F.collect_list(F.when(F.col("usable"), placed)))
     document = F.struct(
         F.lit("FeatureCollection").alias("type"),
-        F.coalesce(F.max("day"), F.lit("")).alias("updated_at"),
-        F.collect_list("feature").alias("features"),
+        F.coalesce(F.max("measurement_date"), F.lit("")).alias("updated_at"),
+        F.transform(features, lambda row: row["feature"]).alias("features"),
     )
     text = F.to_json(document, {"ignoreNullFields": "false"})
-    return points.unionByName(days).agg(text.alias("geojson"))
+    return _with_map_columns(latest).agg(text.alias("geojson"))
 
 
 def analytics_health(health: DataFrame) -> DataFrame:
@@ -168,9 +184,9 @@ def pivot_series(
 ) -> DataFrame:
     """One column per series over an axis, NULL where a series has no value.
 
-    The series names are given, so no extra job looks for them.
+    The series names are given, so no extra job looks for them; of several rows for a cell the largest counts.
     """
-    return rows.groupBy(axis).pivot(series, values).agg(F.first(measure)).orderBy(axis)
+    return rows.groupBy(axis).pivot(series, values).agg(F.max(measure)).orderBy(axis)
 
 
 def forecast_kpis(latest_run: DataFrame) -> DataFrame:

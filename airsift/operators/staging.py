@@ -49,19 +49,17 @@ WEATHER_DIGITS = {
 
 
 def stage_weather(raw: DataFrame) -> DataFrame:
-    """Typed hourly weather; hours without a date, hour or temperature are dropped."""
-    present = (
-        F.col("date").isNotNull() & F.col("hour_utc").isNotNull() & F.col("temperature_2m").isNotNull()
-    )
-    return raw.where(present).select(
-        F.col("location_id").cast("int").alias("location_id"),
-        F.col("date").cast("date").alias("measurement_date"),
-        F.col("hour_utc").cast("int").alias("hour_utc"),
+    """Typed hourly weather; hours without a readable date, hour or temperature are dropped."""
+    typed = raw.select(
+        F.col("location_id").try_cast("int").alias("location_id"),
+        F.col("date").try_cast("date").alias("measurement_date"),
+        F.col("hour_utc").try_cast("int").alias("hour_utc"),
         *[
-            F.round(F.col(name).cast("double"), digits).alias(name)
+            F.round(F.col(name).try_cast("double"), digits).alias(name)
             for name, digits in WEATHER_DIGITS.items()
         ],
     )
+    return typed.dropna(subset=["measurement_date", "hour_utc", "temperature_2m"])
 
 
 STATION_ATTRIBUTES = [

@@ -8,10 +8,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from airsift.operators import city, daily, features, forecast, profiles, quality, staging
-from airsift.plans.writers import write_table
+from airsift.plans.forecast_job import run_forecasts
+from airsift.plans.writers import MONTH, read_months, write_months, write_table
+from airsift.sources.files import read_forecasts
 
 Tables = dict[str, DataFrame]
 REPORT_ONLY = "report_only"
@@ -25,53 +26,39 @@ class Model:
     name: str
     derive: Callable[[Tables], DataFrame]
     needs: tuple[str, ...]
-    partition_by: tuple[str, ...] = ()
+    # Date column whose months are the table's folders; none for small tables.
+    month_of: str | None = None
     tags: frozenset[str] = field(default_factory=frozenset)
-    # Raw-sized tables: spread and sort by these columns, so that later scans of a
-    # station read few files and combine well before their shuffle.
-    cluster_by: tuple[str, ...] = ()
     # Lazy models are derived again by each reader instead of being written.
     stored: bool = True
     # A day of the result depends on the same day of its inputs only.
     per_day: bool = False
+    # Raw-sized tables are written by the tasks that read them, without a shuffle.
+    in_place: bool = False
 
-    def from_date(self, rows: DataFrame, since: dt.date) -> DataFrame:
-        """The part of the table on and after a day, as a partition filter where it is stored."""
-        return rows.where(F.col(self.partition_by[0] if self.partition_by else DAY) >= F.lit(since))
 
-
-def _model(name, derive, needs, by_day=None, tags=(), stored=True, per_day=False, cluster_by=()) -> Model:
-    folders = (by_day,) if by_day else ()
-    return Model(name, derive, tuple(needs), folders, frozenset(tags), tuple(cluster_by), stored, per_day)
-
-
-MONTH = "measurement_month"
-
-
-def _with_month(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(MONTH, F.trunc(DAY, "MM"))
+def _model(name, derive, needs, month_of=None, tags=(), stored=True, per_day=False, in_place=False) -> Model:
+    return Model(name, derive, tuple(needs), month_of, frozenset(tags), stored, per_day, in_place)
 
 
 # The staged readings are read by three marts, so their typed form is written once as
-# Parquet: text archives are slow to parse and gzip files cannot be split.
+# Parquet: text archives are slow to parse and gzip files cannot be split. The enriched
+# forms only add station columns, which no mart reads, and stay lazy.
 MODELS = [
     _model("stg_measurements", lambda t: staging.stage_measurements(t["measurements_raw"]),
-           ["measurements_raw"], stored=False, per_day=True),
+           ["measurements_raw"], DAY, per_day=True, in_place=True),
     _model("stg_weather", lambda t: staging.stage_weather(t["weather_raw"]),
-           ["weather_raw"], stored=False, per_day=True),
-    _model("int_measurements_enriched",
-           lambda t: _with_month(staging.enrich_measurements(t["stg_measurements"], t["stations"])),
-           ["stg_measurements", "stations"], MONTH, per_day=True, cluster_by=["location_id", DAY]),
-    _model("int_weather_enriched", lambda t: _with_month(staging.enrich_weather(t["stg_weather"], t["stations"])),
-           ["stg_weather", "stations"], MONTH, per_day=True, cluster_by=["location_id", DAY]),
-    _model("mart_daily_air_quality",
-           lambda t: daily.mart_daily_air_quality(t["int_measurements_enriched"], t["stations"]),
-           ["int_measurements_enriched", "stations"], DAY, per_day=True),
+           ["weather_raw"], DAY, per_day=True, in_place=True),
+    _model("int_measurements_enriched", lambda t: staging.enrich_measurements(t["stg_measurements"], t["stations"]),
+           ["stg_measurements", "stations"], DAY, stored=False, per_day=True),
+    _model("int_weather_enriched", lambda t: staging.enrich_weather(t["stg_weather"], t["stations"]),
+           ["stg_weather", "stations"], DAY, stored=False, per_day=True),
+    _model("mart_daily_air_quality", lambda t: daily.mart_daily_air_quality(t["stg_measurements"], t["stations"]),
+           ["stg_measurements", "stations"], DAY, per_day=True),
     _model("mart_daily_aqi", lambda t: daily.mart_daily_aqi(t["mart_daily_air_quality"]),
            ["mart_daily_air_quality"], DAY, per_day=True),
-    _model("mart_daily_weather",
-           lambda t: daily.mart_daily_weather(t["int_weather_enriched"], t["stations"]),
-           ["int_weather_enriched", "stations"], DAY, per_day=True),
+    _model("mart_daily_weather", lambda t: daily.mart_daily_weather(t["stg_weather"], t["stations"]),
+           ["stg_weather", "stations"], DAY, per_day=True),
     _model("mart_aq_weather_daily",
            lambda t: daily.mart_aq_weather_daily(t["mart_daily_air_quality"], t["mart_daily_weather"]),
            ["mart_daily_air_quality", "mart_daily_weather"], DAY, per_day=True),
@@ -87,11 +74,11 @@ MODELS = [
     _model("mart_annual_monthly_trend", lambda t: city.mart_annual_monthly_trend(t["mart_daily_air_quality"]),
            ["mart_daily_air_quality"], tags=[REPORT_ONLY]),
     _model("mart_monthly_profile",
-           lambda t: profiles.mart_monthly_profile(t["int_measurements_enriched"], t["stations"]),
-           ["int_measurements_enriched", "stations"]),
+           lambda t: profiles.mart_monthly_profile(t["stg_measurements"], t["stations"]),
+           ["stg_measurements", "stations"]),
     _model("mart_diurnal_profile",
-           lambda t: profiles.mart_diurnal_profile(t["int_measurements_enriched"], t["stations"]),
-           ["int_measurements_enriched", "stations"]),
+           lambda t: profiles.mart_diurnal_profile(t["stg_measurements"], t["stations"]),
+           ["stg_measurements", "stations"]),
     _model("mart_pollutant_ratio", lambda t: daily.mart_pollutant_ratio(t["mart_daily_air_quality"]),
            ["mart_daily_air_quality"], tags=[REPORT_ONLY]),
     _model("mart_forecast_accuracy",
@@ -110,13 +97,25 @@ def selected_models(sources: Collection[str], exclude_tags: Collection[str] = ()
     return chosen
 
 
+def raw_since(raw: DataFrame, first_day: dt.date) -> DataFrame:
+    """Raw rows that may belong to ``first_day`` or later, by the archive's folder columns where it has them.
+
+    Folders go by local time and days by UTC, hence one day more.
+    """
+    from_day = first_day - dt.timedelta(days=1)
+    if {"year", "month"} <= set(raw.columns):
+        return raw.where(F.concat_ws("-", "year", F.lpad("month", 2, "0")) >= from_day.strftime("%Y-%m"))
+    if "day" in raw.columns:
+        return raw.where(F.col("day") >= from_day.isoformat())
+    return raw
+
+
 def build_all(
     spark: SparkSession,
     sources: Tables,
     target: str,
     exclude_tags: Collection[str] = (),
     since: dt.date | None = None,
-    folders: bool = True,
 ) -> Tables:
     """Derive and write every selected model under ``target``; return the stored tables.
 
@@ -124,42 +123,70 @@ def build_all(
     for forecast accuracy, ``mart_daily_forecast``. Each model reads its inputs back
     from storage, which cuts the lineage: losing an executor costs at most the work of
     one model. With ``since``, taken back to the first of its month, the per-day models
-    read and rewrite only the partitions from then on and keep the earlier ones; all
-    other models are rebuilt from whole tables. ``folders=False`` stores every table
-    without partition folders, which suits archives of a few gigabytes, where a folder
-    per day means thousands of tiny files; it excludes ``since``.
+    read the archive's folders from then on only and replace whole months, also those
+    that have no rows any more; earlier months stay and all other models are rebuilt
+    from whole tables.
     """
-    if since and not folders:
-        raise ValueError("since rewrites partition folders, so the tables must have them")
     tables, recent = dict(sources), dict(sources)
     first_day = since.replace(day=1) if since else None
+    if first_day is not None:
+        for name in {"measurements_raw", "weather_raw"} & set(sources):
+            recent[name] = raw_since(sources[name], first_day)
     for model in selected_models(sources, exclude_tags):
         touched_only = first_day is not None and model.per_day
         derived = model.derive(recent if touched_only else tables)
-        if model.stored:
-            path = f"{target.rstrip('/')}/{model.name}"
-            partition_by = model.partition_by if folders else ()
-            write_table(derived, path, partition_by, touched_only, model.cluster_by)
-            derived = spark.read.schema(_stored_schema(derived, partition_by)).parquet(path)
-        tables[model.name] = derived
-        recent[model.name] = model.from_date(derived, first_day) if touched_only else derived
+        if not model.stored:
+            tables[model.name] = model.derive(tables)
+            recent[model.name] = derived
+            continue
+        path = f"{target.rstrip('/')}/{model.name}"
+        if touched_only:
+            derived = derived.where(F.col(model.month_of) >= F.lit(first_day))
+        if model.month_of is None:
+            write_table(derived, path)
+            tables[model.name] = recent[model.name] = spark.read.schema(derived.schema).parquet(path)
+            continue
+        write_months(derived, path, model.month_of, first_day if touched_only else None, model.in_place)
+        stored = read_months(spark, derived, path)
+        tables[model.name] = stored.drop(MONTH)
+        recent[model.name] = stored.where(F.col(MONTH) >= F.lit(first_day)).drop(MONTH) if touched_only else stored.drop(MONTH)
     return tables
 
 
-def _stored_schema(derived: DataFrame, partition_by: tuple[str, ...]) -> StructType:
-    """Column types are known, so reading back needs no inference job."""
-    order = [name for name in derived.columns if name not in partition_by]
-    return derived.select(*order, *partition_by).schema
-
-
 def build_and_check(
     spark: SparkSession,
     sources: Tables,
     target: str,
     as_of: dt.date,
     exclude_tags: Collection[str] = (REPORT_ONLY,),
-    folders: bool = True,
+    since: dt.date | None = None,
 ) -> tuple[Tables, DataFrame]:
     """Build, then check; failing rows are stored beside the marts and never stop the build."""
-    tables = build_all(spark, sources, target, exclude_tags, folders=folders)
+    tables = build_all(spark, sources, target, exclude_tags, since)
     return tables, quality.run_checks(tables, as_of, f"{target.rstrip('/')}/_audit")
+
+
+def daily_run(
+    spark: SparkSession,
+    sources: Tables,
+    target: str,
+    as_of: dt.date,
+    since: dt.date | None = None,
+    fit: forecast.Fitter = forecast.LagDifference.fit,
+    model: str = "lagdiff",
+    known_models: Collection[str] = (),
+) -> tuple[Tables, DataFrame]:
+    """The whole day's work: build, forecast from its features, score all forecasts so far, check every table.
+
+    ``known_models`` are those that earlier runs under ``target`` may have stored.
+    """
+    tables = build_all(spark, sources, target, since=since)
+    run_forecasts(spark, tables["mart_lagged_features"], target, as_of, fit, model)
+    tables["mart_daily_forecast"] = read_forecasts(spark, f"{target.rstrip('/')}/mart_daily_forecast")
+    scored = [m for m in MODELS if m.name == "mart_forecast_accuracy"][0]
+    path = f"{target.rstrip('/')}/{scored.name}"
+    rows = scored.derive(tables)
+    write_months(rows, path, scored.month_of)
+    tables[scored.name] = read_months(spark, rows, path).drop(MONTH)
+    models = sorted({model, *known_models})
+    return tables, quality.run_checks(tables, as_of, f"{target.rstrip('/')}/_audit", models)

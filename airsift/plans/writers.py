@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -30,24 +31,14 @@ def write_sizing(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def write_table(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = (),
-    replace_touched_only: bool = False,
-    cluster_by: Sequence[str] = (),
-) -> None:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), replace_touched_only: bool = False) -> None:
     """Write Snappy Parquet, partition columns last.
 
     The rebalance hint gathers the rows of a partition folder into few files, splits
-    a folder that outgrows a task and merges small shuffle partitions. ``cluster_by``
-    spreads large folders over more tasks and sorts their files.
+    a folder that outgrows a task and merges small shuffle partitions.
     """
     columns = [name for name in df.columns if name not in partition_by] + list(partition_by)
-    balanced = df.select(*columns).hint("rebalance", *partition_by, *cluster_by)
-    if cluster_by:
-        balanced = balanced.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = balanced.write.mode("overwrite").option("compression", "snappy")
+    writer = df.select(*columns).hint("rebalance", *partition_by).write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         mode = "dynamic" if replace_touched_only else "static"
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
@@ -55,21 +46,56 @@ def write_table(
         writer.parquet(path)
 
 
+MONTH = "stored_month"
+
+
+def read_months(spark: SparkSession, like: DataFrame, path: str) -> DataFrame:
+    """A table of month folders; the columns are known, so no job looks for them."""
+    return spark.read.schema(with_month_last(like).schema).parquet(path)
+
+
+def with_month_last(df: DataFrame, day: str | None = None) -> DataFrame:
+    month = F.trunc(day, "MM") if day else F.lit(None).cast("date")
+    return df.withColumn(MONTH, month)
+
+
+def write_months(df: DataFrame, path: str, day: str, since: dt.date | None = None, in_place: bool = False) -> None:
+    """Write a table in a folder per month of its date column ``day``, sorted by station and day.
+
+    With ``since``, a first of a month, ``df`` holds all rows from then on: its months
+    replace the stored ones, and stored months from then on that have no rows any more
+    are emptied. Row-group statistics find a day within its month. ``in_place`` leaves
+    rows to the tasks that read them, for raw-sized tables whose source already lies by
+    time; else rows of a month are gathered, and months too big for a task are split.
+    """
+    spark = df.sparkSession
+    order = [name for name in ("location_id", day) if name in df.columns]
+    rows = with_month_last(df, day)
+    placed = rows if in_place else rows.hint("rebalance", MONTH)
+    gone: set[dt.date] = set()
+    if since is not None:
+        stored = read_months(spark, df, path).where(F.col(MONTH) >= F.lit(since)).select(MONTH).distinct()
+        gone = {row[0] for row in stored.collect()}  # a few rows: months
+        gone -= {row[0] for row in rows.select(MONTH).distinct().collect()}
+    writer = placed.sortWithinPartitions(MONTH, *order).write.mode("overwrite").option("compression", "snappy")
+    mode = "static" if since is None else "dynamic"
+    with write_sizing(spark, FOLDER_SIZING):
+        writer.partitionBy(MONTH).option("partitionOverwriteMode", mode).parquet(path)
+    for month in sorted(gone):
+        df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MONTH}={month.isoformat()}")
+
+
 def write_forecasts(df: DataFrame, path: str) -> None:
     """Add or replace one forecast run; the folders of earlier runs stay."""
     write_table(df, path, FORECAST_FOLDERS, replace_touched_only=True)
 
 
 def write_weather_landing(df: DataFrame, path: str) -> None:
-    """JSON lines per station and day; the day's rows also carry both folder columns."""
-    rows = df.select(
-        "*",
-        F.col("location_id").alias("station"),
-        F.date_format(F.col("date").cast("date"), "yyyy-MM-dd").alias("day"),
-    )
-    writer = rows.hint("rebalance", "station", "day").write.mode("overwrite")
+    """JSON lines in a folder per day, a day's stations together; a range of days is a range of folders."""
+    rows = df.withColumn("day", F.date_format(F.col("date").try_cast("date"), "yyyy-MM-dd"))
+    writer = rows.hint("rebalance", "day").sortWithinPartitions("day", "location_id").write.mode("overwrite")
     with write_sizing(df.sparkSession, FOLDER_SIZING):
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy("station", "day").json(path)
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("day").json(path)
 
 
 def arrival_folders(moment: Column) -> list[Column]:

@@ -44,7 +44,11 @@ def local_session(app_name: str = "airsift", cores: str = "*", shuffle_partition
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder stands in.
+    Only on one machine (a ``local`` master) a temporary folder stands in where it is not set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "airsift")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local") or spark.conf.get("spark.master").startswith("local-"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = os.path.join(tempfile.gettempdir(), "airsift")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

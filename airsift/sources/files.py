@@ -35,31 +35,33 @@ def backfill(
     return rows
 
 
+LANDING_HOURS = "y string, m string, d string, h string, batch string"
+
+
 def read_stream_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Landed live readings: gzip JSON lines in ``yyyy/MM/dd/HH`` folders.
+    """Landed live readings: gzip JSON lines in ``y=/m=/d=/h=/batch=`` folders.
 
-    The arrival time is taken from the path.
-    To prune, pass the folders wanted as the path, for instance ``.../2024/01/*/*``.
+    Filters on ``y``, ``m``, ``d`` and ``h`` (text, zero-padded) prune folders. For folders
+    named ``2024/01/31/07`` pass a pattern that reaches the hours, for instance
+    ``.../2024/01/*/*``; the arrival time then comes from the path and those columns are NULL.
     """
-    rows = (
-        spark.read.schema(schemas.STREAM_RAW)
-        .option("recursiveFileLookup", True)
-        .json(path)
-        .withColumn("_folder", F.col("_metadata.file_path"))
-    )
-    # Folders are named 2024/01/31/07 or, by the landing sink here, y=2024/m=01/d=31/h=07.
-    pattern = r"/(?:y=)?(\d{4})/(?:m=)?(\d{2})/(?:d=)?(\d{2})/(?:h=)?(\d{2})/[^/]*$"
-    names = ["arrival_year", "arrival_month", "arrival_day", "arrival_hour"]
+    rows = spark.read.schema(f"{schemas.STREAM_RAW}, {LANDING_HOURS}").json(path).withColumn("_file", F.col("_metadata.file_path"))
+    named = {"arrival_year": "y", "arrival_month": "m", "arrival_day": "d", "arrival_hour": "h"}
+    pattern = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
     parts = [
-        F.regexp_extract("_folder", pattern, position).try_cast("int").alias(name)
-        for position, name in enumerate(names, start=1)
+        F.coalesce(folder, F.regexp_extract("_file", pattern, position)).try_cast("int").alias(name)
+        for position, (name, folder) in enumerate(named.items(), start=1)
     ]
-    return rows.select(*schemas.STREAM_COLUMNS, *parts)
+    return rows.select(*schemas.STREAM_COLUMNS, *parts, "y", "m", "d", "h")
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Hourly weather as JSON lines, one file per station and day."""
-    return spark.read.schema(schemas.WEATHER_RAW).option("recursiveFileLookup", True).json(path)
+    """Hourly weather as JSON lines in ``day=`` folders; filters on ``day`` prune folders.
+
+    For files in foreign folders, name them by a pattern, for instance ``.../*/2024/01/*``;
+    ``day`` is then NULL.
+    """
+    return spark.read.schema(f"{schemas.WEATHER_RAW}, day string").json(path)
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -72,11 +74,13 @@ def read_holidays(spark: SparkSession, path: str) -> DataFrame:
 
 
 def typed_holidays(holidays: DataFrame) -> DataFrame:
-    return holidays.select(
-        F.col("date").cast("date").alias("holiday_date"),
+    """Holidays with a readable date; a flag that is not a number becomes NULL."""
+    typed = holidays.select(
+        F.col("date").try_cast("date").alias("holiday_date"),
         "holiday_name",
-        F.col("is_tet_period").cast("int").alias("is_tet_period"),
+        F.col("is_tet_period").try_cast("int").alias("is_tet_period"),
     )
+    return typed.dropna(subset=["holiday_date"])
 
 
 def read_forecasts(spark: SparkSession, path: str) -> DataFrame:

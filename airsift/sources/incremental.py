@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +13,42 @@ def new_or_changed(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     return listing.join(ledger.select("path", "etag"), ["path", "etag"], "left_anti")
 
 
-def ingest_summary(listing: DataFrame, ledger: DataFrame, unit: str = "station_id") -> DataFrame:
-    """Copied and skipped files per unit."""
+def ingest_summary(
+    listing: DataFrame,
+    ledger: DataFrame,
+    unit: str = "station_id",
+    outcomes: DataFrame | None = None,
+    window: tuple[dt.date, int] | None = None,
+) -> DataFrame:
+    """Copied, skipped and failed files per unit, and an error of a failed one.
+
+    ``window`` (a day, n) looks only at files whose ``month_start`` is among the n months up to that day. ``outcomes``
+    has ``path`` and ``error`` of files that could not be copied. A unit whose files all failed still has its row.
+    """
+    if window is not None:
+        listing = in_month_window(listing, *window)
     seen = ledger.select("path", "etag", F.lit(True).alias("seen")).distinct()
-    return (
-        listing.join(seen, ["path", "etag"], "left")
-        .groupBy(unit)
-        .agg(
-            F.count_if(F.col("seen").isNull()).alias("copied"),
-            F.count_if(F.col("seen").isNotNull()).alias("skipped"),
-        )
+    marked = listing.join(seen, ["path", "etag"], "left")
+    if outcomes is None:
+        marked = marked.withColumn("error", F.lit(None).cast("string"))
+    else:
+        failed = outcomes.where("error is not null").groupBy("path").agg(F.min("error").alias("error"))
+        marked = marked.join(failed, "path", "left")
+    new = F.col("seen").isNull()
+    return marked.groupBy(unit).agg(
+        F.count_if(new & F.col("error").isNull()).alias("copied"),
+        F.count_if(~new).alias("skipped"),
+        F.count_if(new & F.col("error").isNotNull()).alias("failed"),
+        F.min(F.when(new, F.col("error"))).alias("error"),
     )
 
 
+def in_month_window(listing: DataFrame, as_of: dt.date, months: int) -> DataFrame:
+    """Files of the last ``months`` months, the month of ``as_of`` included; a filter on the folders' month."""
+    first = F.add_months(F.trunc(F.lit(as_of), "MM"), -(months - 1))
+    return listing.where((F.col("month_start") >= first) & (F.col("month_start") <= F.lit(as_of)))
+
+
 def updated_ledger(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Ledger after the ingest: the listed etag replaces an older one of the same path."""
     kept = ledger.select("path", "etag").join(listing.select("path"), "path", "left_anti")

@@ -31,7 +31,7 @@ def explode_hourly(payloads: DataFrame, dates: DataFrame) -> DataFrame:
     rows = payloads.select("location_id", entry.alias("entry")).select(
         "location_id",
         F.substring("entry.time", 1, 10).alias("date"),
-        F.substring("entry.time", 12, 2).cast("int").alias("hour_utc"),
+        F.substring("entry.time", 12, 2).try_cast("int").alias("hour_utc"),
         *[F.col(f"entry.{name}").alias(column) for name, column in HOURLY_FIELDS.items()],
     )
     wanted = dates.select(F.date_format("date", "yyyy-MM-dd").alias("date")).distinct()

@@ -15,8 +15,8 @@ from airsift import schemas
 from airsift.operators import staging
 from airsift.plans.writers import FOLDER_SIZING, arrival_folders, write_sizing, write_table
 
-LANDING_FOLDERS = ["y", "m", "d", "h"]
-ERROR_FOLDERS = ["y", "m", "d"]
+LANDING_FOLDERS = ["y", "m", "d", "h", "batch"]
+ERROR_FOLDERS = ["y", "m", "d", "batch"]
 LANDING_TRIGGER = "300 seconds"
 
 
@@ -56,27 +56,28 @@ def enrich_live(readings: DataFrame, sensors: DataFrame) -> DataFrame:
 
 
 def _write_json(rows: DataFrame, folders: list[str], path: str) -> None:
-    """Gzip JSON lines per folder, a station's rows side by side; AQE splits a folder too big for a task."""
-    placed = rows.hint("rebalance", *folders).sortWithinPartitions(*folders, "location_id")
-    placed.write.mode("overwrite").partitionBy(*folders).option("compression", "gzip").json(path)
+    """Gzip JSON lines per folder; a station's rows of an hour meet in one task, which AQE splits where too big."""
+    placed = rows.hint("rebalance", *folders, "location_id").sortWithinPartitions(*folders, "location_id")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folders).option("compression", "gzip").json(path)
 
 
 def land_batch(target: str, errors: str, metrics: str | None, arrival: Column) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch: valid rows by arrival hour, rejected rows apart, counts as metrics.
 
-    Every batch writes to a folder of its own, so replaying it after a failure
-    overwrites instead of adding rows twice.
+    Folders are hours, then batches: a reader of one hour lists that hour only, and
+    replaying a batch after a failure overwrites its own folders instead of adding rows twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         marked = staging.split_live_readings(batch).persist()
-        folders = arrival_folders(arrival)
+        folders = [*arrival_folders(arrival), F.lit(batch_id).alias("batch")]
         valid = marked.where("is_valid").drop("is_valid", "reason").select("*", *folders)
-        rejected = marked.where(~F.col("is_valid")).drop("is_valid").select("*", *folders[:3])
+        rejected = marked.where(~F.col("is_valid")).drop("is_valid").select("*", *folders[:3], folders[-1])
         try:
             with write_sizing(batch.sparkSession, FOLDER_SIZING):
-                _write_json(valid, LANDING_FOLDERS, f"{target}/batch={batch_id}")
-                _write_json(rejected, ERROR_FOLDERS, f"{errors}/batch={batch_id}")
+                _write_json(valid, LANDING_FOLDERS, target)
+                _write_json(rejected, ERROR_FOLDERS, errors)
             if metrics is not None:
                 counts = staging.rejection_counts(batch).withColumn("ts", F.current_timestamp())
                 write_table(counts, f"{metrics}/batch={batch_id}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,7 +109,7 @@ register(
     )
     .unionByName(
         monitoring.failure_metrics(
-            i.live.select(F.when(F.col("sensors_id") % 97 == 0, F.lit("timeout")).alias("error")), "BatchStationFailures", F.lit(LIVE_AS_OF)
+            _ingested(i), "BatchStationFailures", F.lit(LIVE_AS_OF)
         )
     ),
     f"""select 'ValidationRejections' as metric, case parameter when '' then 'unknown' else parameter end as dimension,
@@ -121,7 +123,8 @@ register(
         select 'ForecastRMSE', model || '/' || city, timestamp '{AS_OF}', round(avg(rmse), 6)
         from (select location_id, city, model, min(holdout_rmse) as rmse from next_week group by 1, 2, 3) group by 2
         union all
-        select 'BatchStationFailures', '', timestamp '{LIVE_AS_OF}', count(*)::double from live where sensors_id % 97 = 0""",
+        select 'BatchStationFailures', '', timestamp '{LIVE_AS_OF}', count(distinct doc_id % 21)::double
+        from documents where doc_id % 12 < 6 and (doc_id % 2 = 1 or doc_id % 10 = 0) and doc_id % 97 = 0""",
 )
 ALARMS = [
     monitoring.AlarmRule("MissingStations", 9, periods=3),
@@ -197,21 +200,45 @@ def _checks_sql() -> str:
     return "\nunion all ".join(parts)
 
 
-def _built_and_checked(i: Inputs) -> DataFrame:
-    """The whole build without folders per day, since the given tables are small for 2,500 days."""
+def _daily_run(i: Inputs) -> DataFrame:
+    """The whole day's work, from text cells: all 17 tables, the forecasts among them, and every check."""
     sources = {
-        "measurements_raw": i.readings, "weather_raw": i.weather_raw, "stations": i.stations, "holidays": i.holidays,
+        "measurements_raw": i.measurements_raw, "weather_raw": i.weather_raw, "stations": i.stations, "holidays": i.holidays,
     }
-    target = shared_folder(i.spark, "build")
-    return build.build_and_check(i.spark, sources, target, AS_OF, exclude_tags=(), folders=False)[1]
+    return build.daily_run(i.spark, sources, shared_folder(i.spark, "build"), AS_OF)[1]
 
 
-register(
-    "run_checks_dq16_snk06_snk07",
-    _built_and_checked,
-    _checks_sql() + """
-       union all select 'not_null_mart_feature_stats_location_id', 0
-       union all select 'unique_mart_feature_stats', 0""",
+REMOVED_DAY, REMOVED_MONTH, SINCE = dt.date(2001, 9, 3), dt.date(2001, 10, 1), dt.date(2001, 9, 1)
+
+
+def _corrected_build(i: Inputs) -> DataFrame:
+    """A full build, then an increment from an archive that lost one day and one whole month."""
+    target = shared_folder(i.spark, "build")
+    sources = {"measurements_raw": i.readings, "weather_raw": i.weather_raw, "stations": i.stations, "holidays": i.holidays}
+    build.build_all(i.spark, sources, target)
+    day, month = F.to_date("datetime"), F.trunc(F.to_date("datetime"), "MM")
+    lost = (day == F.lit(REMOVED_DAY)) | (month == F.lit(REMOVED_MONTH))
+    fewer = {**sources, "measurements_raw": i.readings.where(~F.coalesce(lost, F.lit(False)))}
+    tables = build.build_all(i.spark, fewer, target, since=SINCE)
+    kept = tables["mart_daily_aqi"].select(F.lit("aqi").alias("source"), "measurement_date", "location_id", "composite_aqi")
+    staged = tables["stg_measurements"].groupBy("measurement_date", "location_id").agg(F.count("*").cast("int").alias("composite_aqi"))
+    lagged = tables["mart_lagged_features"].groupBy("location_id").agg(F.max("measurement_date").alias("measurement_date"), F.count("*").cast("int").alias("composite_aqi"))
+    parts = [("staged", staged), ("lagged", lagged)]
+    for name, rows in parts:
+        kept = kept.unionByName(rows.select(F.lit(name).alias("source"), "measurement_date", "location_id", "composite_aqi"))
+    return kept
+
+
+LEFT = f"measurement_date <> date '{REMOVED_DAY}' and date_trunc('month', measurement_date) <> date '{REMOVED_MONTH}'"
+register(
+    "corrected_months_snk06",
+    _corrected_build,
+    f"""select 'aqi' as source, measurement_date, location_id, composite_aqi from daily_aqi where {LEFT}
+        union all
+        select 'staged', measurement_date, location_id, cast(count(*) as int) from stg where {LEFT} group by 2, 3
+        union all
+        select 'lagged', max(measurement_date), location_id, cast(count(*) as int) from aq_weather
+        where avg_pm25 is not null and {LEFT} group by 3""",
 )
 
 # Forecasts ---------------------------------------------------------------------------
@@ -305,6 +332,23 @@ register(
                count(*) as records, count(*) filter (forecast_aqi > 150) as alert_count from ({FITTED_SQL}) f""",
 )
 
+# A day's only run: its forecasts are the rows of the accuracy table.
+register(
+    "run_checks_dq16_snk06_snk07",
+    _daily_run,
+    _checks_sql()
+    + "\nunion all select 'not_null_mart_feature_stats_location_id', count(*) from (select location_id from features group by 1) where location_id is null"
+    + "\nunion all select 'unique_mart_feature_stats', count(*) from (select location_id from (select location_id from features group by 1) group by 1 having count(*) > 1)"
+    + "".join(
+        f"\nunion all select 'not_null_mart_forecast_accuracy_{column}', count(*) from ({FITTED_SQL}) f where {column} is null"
+        for column in quality.GRAINS["mart_forecast_accuracy"]
+    )
+    + f"""
+       union all select 'unique_mart_forecast_accuracy', count(*)
+       from (select 1 from ({FITTED_SQL}) f group by location_id, model, forecast_date having count(*) > 1)
+       union all select 'accepted_model', count(*) from ({FITTED_SQL}) f where model <> 'lagdiff'""",
+)
+
 # Sources -----------------------------------------------------------------------------
 
 
@@ -333,17 +377,28 @@ register(
 )
 
 
-def _weather_files(i: Inputs) -> str:
+def _flat_weather(i: Inputs) -> str:
     path = shared_folder(i.spark, "weather")
     i.weather_raw.write.json(path)
     return path
 
 
+def _weather_files(i: Inputs) -> str:
+    path = shared_folder(i.spark, "weather")
+    writers.write_weather_landing(i.weather_raw, path)
+    return path
+
+
 register(
     "read_weather_src03",
-    lambda i: staging.stage_weather(files.read_weather(i.spark, _weather_files(i))),
+    lambda i: staging.stage_weather(files.read_weather(i.spark, _flat_weather(i))),
     "select * from stg_weather",
 )
+register(
+    "weather_landing_days_snk05",
+    lambda i: staging.stage_weather(files.read_weather(i.spark, _weather_files(i)).where("day between '1997-03-01' and '1997-03-31'")),
+    "select * from stg_weather where measurement_date between date '1997-03-01' and date '1997-03-31'",
+)
 
 
 def _station_file(i: Inputs) -> str:
@@ -499,11 +554,21 @@ register(
     """select 'file-' || doc_id as path, cast(n_chars as varchar) as etag, cast(doc_id % 21 as int) as station_id
        from documents where doc_id % 2 = 1 or doc_id % 10 = 0""",
 )
+def _ingested(i: Inputs) -> DataFrame:
+    """Files spread over twelve months, of which the last six are looked at; some copies time out."""
+    ids = F.expr("cast(substring(path, 6) as bigint)")
+    listing = _listing(i).withColumn("month_start", F.expr(f"add_months(trunc(date '{LIVE_AS_OF}', 'MM'), -cast(cast(substring(path, 6) as bigint) % 12 as int))"))
+    outcomes = _listing(i).select("path", F.when(ids % 97 == 0, "timeout").alias("error"))
+    return incremental.ingest_summary(listing, _ledger(i), outcomes=outcomes, window=(LIVE_AS_OF, 6))
+
+
 register(
     "ingest_summary_src10",
-    lambda i: incremental.ingest_summary(_listing(i), _ledger(i)),
-    """select cast(doc_id % 21 as int) as station_id, count(*) filter (doc_id % 2 = 1 or doc_id % 10 = 0) as copied,
-              count(*) filter (doc_id % 2 = 0 and doc_id % 10 <> 0) as skipped from documents group by 1""",
+    _ingested,
+    f"""select cast(doc_id % 21 as int) as station_id, count(*) filter (fresh and doc_id % 97 <> 0) as copied,
+               count(*) filter (not fresh) as skipped, count(*) filter (fresh and doc_id % 97 = 0) as failed,
+               max(case when fresh and doc_id % 97 = 0 then 'timeout' end) as error
+        from (select *, doc_id % 2 = 1 or doc_id % 10 = 0 as fresh from documents where doc_id % 12 < 6) group by 1""",
 )
 register(
     "ledger_after_ingest_src10",
@@ -537,7 +602,13 @@ def _written(i: Inputs, frame: DataFrame, *folders: str) -> DataFrame:
     return i.spark.read.schema(frame.schema).parquet(path)
 
 
-register("table_by_date_snk01", lambda i: _written(i, i.daily_weather, "measurement_date"), "select * from daily_weather")
+def _by_month(i: Inputs, frame: DataFrame, day: str) -> DataFrame:
+    path = shared_folder(i.spark, "table")
+    writers.write_months(frame, path, day)
+    return writers.read_months(i.spark, frame, path).drop(writers.MONTH)
+
+
+register("table_by_month_snk01", lambda i: _by_month(i, i.daily_weather, "measurement_date"), "select * from daily_weather")
 register("plain_table_snk02", lambda i: _written(i, i.health), "select * from health")
 
 
@@ -568,7 +639,6 @@ register(
 register(
     "live_rejections_str02",
     lambda i: i.spark.read.schema(f"{schemas.STREAM_RAW}, reason string")
-    .option("recursiveFileLookup", True)
     .json(_landed(i)["errors"])
     .select("sensors_id", "parameter", "value", "reason"),
     "select sensors_id, parameter, value, reason from judged where reason <> ''",
@@ -605,3 +675,47 @@ register(
        from live l left join (select * from supplier where s_suppkey % 9 <> 0) s on s.s_suppkey = l.location_id + 1
        where value >= 0 and value < 500""",
 )
+
+
+def _restarted(i: Inputs) -> DataFrame:
+    """JSON files streamed in two runs with one checkpoint: what came in between is added once, nothing twice.
+
+    Each row says in how many files of its hour and batch its station lies.
+    """
+    root = shared_folder(i.spark, "live")
+    for half in (0, 1):
+        i.live.where(F.col("sensors_id") % 2 == half).write.mode("append").json(f"{root}/in")
+        stream = live.read_live(i.spark, f"{root}/in")
+        live.land_live(stream, f"{root}/valid", f"{root}/errors", f"{root}/checkpoint", arrival=F.to_timestamp("ingested_at"), once=True).awaitTermination()
+    landed = i.spark.read.schema(f"{schemas.STREAM_RAW}, {files.LANDING_HOURS}").json(f"{root}/valid")
+    return (
+        landed.select("location_id", "sensors_id", "y", "m", "d", "h", "batch", F.col("_metadata.file_path").alias("file"))
+        .groupBy("location_id", "y", "m", "d", "h", "batch")
+        .agg(F.count("*").alias("readings"), F.countDistinct("file").alias("files"))
+        .groupBy("location_id").agg(F.sum("readings").alias("readings"), F.max("files").alias("files"))
+    )
+
+
+register(
+    "live_restart_str01_str05_str06",
+    _restarted,
+    "select location_id, count(*) as readings, cast(1 as bigint) as files from judged where reason = '' group by 1",
+)
+
+
+def _holiday_file(i: Inputs) -> DataFrame:
+    """The holiday seed as a file with unreadable lines, read back and joined to readings."""
+    path = shared_folder(i.spark, "holidays")
+    bad = i.spark.sql("select * from values ('not a date', 'Nothing', '1'), ('1998-13-40', 'Never', 'x') as t(date, holiday_name, is_tet_period)")
+    i.holidays_raw.union(bad).coalesce(1).write.option("header", True).csv(path)
+    holidays = files.typed_holidays(files.read_holidays(i.spark, path))
+    joined = i.stg.join(holidays, F.col("measurement_date") == F.col("holiday_date"))
+    return joined.groupBy("holiday_date", "holiday_name", "is_tet_period").agg(F.count("*").alias("n_rows"))
+
+
+register(
+    "read_holidays_src05",
+    _holiday_file,
+    """select holiday_date, holiday_name, is_tet_period, count(*) as n_rows
+       from stg join holidays on measurement_date = holiday_date group by 1, 2, 3""",
+)

@@ -82,7 +82,7 @@ def main(folder: str = "/root/testdata/sf0.01", *parts: str) -> int:
     from __spark_entry__ import oracle_sql, queries
 
     # A session without the library's settings: queries bring their own.
-    spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql = connect(folder), oracle_sql()
     failures = 0

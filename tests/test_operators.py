@@ -73,7 +73,11 @@ def test_geojson_skips_unusable_rows(spark):
     )
     good = ("7441", "A", "Hanoi", "21.02", "105.8", "reference", "88", "Moderate", "pm25", "27.34", "1.24", "2026-03-26")
     bad = ("1", "B", "Hanoi", "n/a", "105.8", "reference", "88", "Moderate", "pm25", "27.34", "1.24", "2026-03-27")
-    document = json.loads(serving.geojson(spark.createDataFrame([good, bad], schema)).first().geojson)
+    unreadable = [(*good[:6], "n/a", *good[7:]), (*good[:9], "oops", *good[10:]), (*good[:10], "?", good[11])]
+    blank = ("7440", "Z", "Hanoi", "21.02", "105.8", "reference", "", "Moderate", "pm25", "", None, "2026-03-26")
+    document = json.loads(serving.geojson(spark.createDataFrame([blank], schema)).first().geojson)
+    assert document["features"][0]["properties"]["composite_aqi"] is None
+    document = json.loads(serving.geojson(spark.createDataFrame([*unreadable, good, bad], schema)).first().geojson)
     assert document["type"] == "FeatureCollection" and document["updated_at"] == "2026-03-27"
     (feature,) = document["features"]
     assert feature["geometry"] == {"type": "Point", "coordinates": [105.8, 21.02]}
@@ -112,19 +116,26 @@ def test_archive_files_quoted_and_not(spark, tmp_path):
     assert files.backfill(spark, str(tmp_path), years=[2025]).select("location_id").distinct().collect()[0][0] == "8"
 
 
-def test_weather_files_per_station_and_day(spark, tmp_path):
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_weather_files_per_day(spark, tmp_path):
     rows = [(n, f"2024-01-0{d}", h, 20.0, 50.0, 1.0, 90.0, 0.0, 1010.0, 400.0) for n in (1, 2) for d in (1, 2) for h in range(3)]
     frame = spark.createDataFrame(rows, schemas.WEATHER_RAW)
     writers.write_weather_landing(frame, str(tmp_path / "w"))
-    assert len(list((tmp_path / "w").glob("station=*/day=*"))) == 4
-    assert sorted(files.read_weather(spark, str(tmp_path / "w")).collect()) == sorted(frame.collect())
+    assert len(list((tmp_path / "w").glob("day=*"))) == 2
+    back = files.read_weather(spark, str(tmp_path / "w"))
+    assert sorted(back.drop("day").collect()) == sorted(frame.collect())
+    one = back.where("day = '2024-01-02'")
+    assert one.count() == 6 and len(one.inputFiles()) >= 1 and "PartitionFilters: [isnotnull(day" in plan(one)
 
 
 def test_positional_landing_folders(spark, tmp_path):
     folder = tmp_path / "2024" / "01" / "31" / "07"
     folder.mkdir(parents=True)
     (folder / "a.gz").write_bytes(gzip.compress(b'{"location_id": 1, "value": 2.5}\n'))
-    found = files.read_stream_landing(spark, str(tmp_path)).first()
+    found = files.read_stream_landing(spark, str(tmp_path / "*/*/*/*")).first()
     assert (found.value, found.arrival_year, found.arrival_month, found.arrival_day, found.arrival_hour) == (2.5, 2024, 1, 31, 7)
 
 
@@ -146,6 +157,8 @@ def test_live_stream_from_json_files_replays_nothing_twice(spark, tmp_path):
     add("b.json", 3.0)
     assert drain() == 3
     assert drain() == 3
+    hour = files.read_stream_landing(spark, args[0]).where("y = '2024' and h = '07'")
+    assert "PartitionFilters: [isnotnull(y" in plan(hour)
 
 
 def series_frame(spark, values, station=1):
@@ -161,6 +174,26 @@ def test_fitted_model_recovers_a_weekly_pattern():
     assert forecast.walk_forward_rmse(values, forecast.LagDifference.fit, 30, 60) < 1e-6
 
 
+def test_failing_walk_keeps_the_forecast():
+    class Stubborn(forecast.LagDifference):
+        def forecast(self, history, horizon):
+            if horizon == 1:
+                raise ValueError("one step only")
+            return super().forecast(history, horizon)
+
+    values = np.tile([10, 12, 15, 11, 9, 20, 25.0], 15)
+
+    def fit(train):
+        model = forecast.LagDifference.fit(train)
+        return Stubborn(model.daily, model.weekly, model.sigma)
+
+    expected = fit(values[:75]).forecast(values[:75], 30)[0]
+    assert forecast.walk_forward_rmse(values, fit, 30, 60) == float(np.sqrt(np.mean((np.maximum(expected, 0) - values[75:]) ** 2)))
+    assert forecast.walk_forward_rmse(values, lambda train: 1 / 0, 30, 60) == 0.0
+    # The holdout is the caller's choice.
+    assert forecast.walk_forward_rmse(np.append(values, 1000.0), forecast.LagDifference.fit, 45, 60) > 0
+
+
 def test_failing_station_yields_an_error_row(spark):
     def fit(values):
         if values[0] > 50:
@@ -208,3 +241,19 @@ def test_build_excludes_tags_and_rewrites_from_a_month_on(inputs, spark, tmp_pat
     assert again["mart_daily_aqi"].where("measurement_date < '2001-09-01'").count() == before > 0
     sensors = again["int_measurements_enriched"].where("measurement_date >= '2001-09-01'")
     assert sensors.where("sensor_id % 2 = 1").count() == 0 < sensors.count()
+    # An archive that lost a month: nothing of it may stay, in no table.
+    fewer = {**sources, "measurements_raw": recent.where("datetime < '2001-10-01' or datetime >= '2001-11-01'")}
+    last = build.build_all(spark, fewer, target, [build.REPORT_ONLY], since=dt.date(2001, 9, 1))
+    for name in ("stg_measurements", "mart_daily_air_quality", "mart_daily_aqi", "mart_lagged_features"):
+        assert last[name].where("trunc(measurement_date, 'MM') = '2001-10-01'").isEmpty()
+        assert not last[name].where("measurement_date < '2001-10-01'").isEmpty()
+
+
+def test_increment_reads_only_recent_archive_folders(spark, tmp_path):
+    for month in ("2023-12", "2024-01", "2024-02", "2024-03"):
+        folder = tmp_path / f"locationid=7/year={month[:4]}/month={month[5:]}"
+        folder.mkdir(parents=True)
+        (folder / "a.csv").write_text(f"location_id,sensors_id,location,datetime,lat,lon,parameter,units,value\n7,1,A,{month}-05T12:00:00+07:00,21,105,pm25,ug,12.5\n")
+    pruned = build.raw_since(files.read_measurements(spark, str(tmp_path)), dt.date(2024, 2, 1))
+    assert sorted(row["month"] for row in pruned.select("month").distinct().collect()) == ["01", "02", "03"]
+    assert "PartitionFilters: []" not in plan(pruned) and "PartitionFilters: [(concat_ws" in plan(pruned)
