@@ -3,13 +3,11 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog import all_queries, all_sql
 from compare import connect, difference
 from conftest import SMALL
 
-# Rebuilds or writes thousands of files; `python tests/compare.py` runs them too.
-SLOW = ("src01", "src12", "snk01", "dq16", "str01")
-QUERIES = {name: query for name, query in queries().items() if not any(part in name for part in SLOW)}
-SQL = oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,8 +20,9 @@ def test_query_matches_sql(spark, connection, name):
     assert difference(spark, connection, SMALL, QUERIES[name], SQL[name]) == ""
 
 
-def test_every_query_has_sql():
-    assert set(SQL) == set(queries())
+def test_every_query_has_sql_and_is_in_the_entry():
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_has_rows(spark):
