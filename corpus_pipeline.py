@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from airsift.llm import decontaminate, mixing, near_dedup, pii, quality_rules
 from airsift.llm.store import stored
 
+# Hundredths of shared five-word shingles from which documents of a corpus count as copies.
+NEAR_SIMILARITY = 80
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return quality_rules.keep_good(docs, spark.read.parquet(f"{folder}/labels.parquet"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return near_dedup.keep_one_each(docs)
+    return near_dedup.keep_one_each(docs, NEAR_SIMILARITY)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ def test_stages(spark):
             verdicts = quality_rules.quality(before, quality_rules.trusted_documents(labels))
             assert ids == sorted(r["doc_id"] for r in verdicts.where("kept").collect())
         elif name == "near_dedup":
-            assert ids == sorted(node for node, label in groups(rows, 85).items() if node == label)
+            assert ids == sorted(node for node, label in groups(rows, 80).items() if node == label)
         elif name == "decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
             hit = {doc_id for doc_id, _ in leaks(rows, items)}
