@@ -87,7 +87,9 @@ def _template_table(pages: DataFrame) -> DataFrame:
         decided = branches.join(whole, ["host", "template"]).select(*node, F.when(F.col("part").isNull(), "").when(differs & ~variable, F.concat(F.lit("/~"), tenth)).otherwise("/*").alias("step"))
         renamed = decided.toDF("_host", "_template", "_part", "step")
         same = (tree["host"] == renamed["_host"]) & (tree["template"] == renamed["_template"]) & tree["part"].eqNullSafe(renamed["_part"])
-        tree = tree.join(renamed, same).drop("_host", "_template", "_part").withColumn("template", F.concat("template", "step")).drop("step")
+        deeper = tree.join(renamed, same).drop("_host", "_template", "_part").withColumn("template", F.concat("template", "step")).drop("step")
+        # Each level reads the one above several times: stored, or the plan would grow by a power of the depth.
+        tree = stored(deeper, f"level-{level}")
     return tree.select("host", "shape", "template", "n", "labelled", "n_good")
 
 
@@ -101,7 +103,7 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataF
     url = F.col("url").cast("string")
     base = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), F.col("good").cast("boolean").alias("good"))
     shaped = base.withColumn("shape", F.regexp_replace("path", "[0-9]+", "{n}"))
-    tree = stored(_template_table(shaped), "templates")
+    tree = _template_table(shaped)
     total = tree.agg(F.sum("labelled").alias("labelled"), F.sum("n_good").alias("n_good")).first()
     prior = total["n_good"] / total["labelled"] if total["labelled"] else 1.0
     purity = (F.sum("n_good") + F.lit(SMOOTHING * prior)) / (F.sum("labelled") + F.lit(SMOOTHING))
