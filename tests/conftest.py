@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from airsift.session import local_session
 
-    session = local_session("tests", cores="4", shuffle_partitions=4)
+    session = local_session("tests", cores="8", shuffle_partitions=4)
     yield session
     session.stop()
 
