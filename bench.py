@@ -12,9 +12,7 @@ import sys
 import time
 
 from airsift.plans.build import daily_run
-from airsift.plans.writers import FOLDER_SIZING, write_sizing
 from airsift.session import local_session, shared_folder
-from airsift.sources.files import read_measurements
 from catalog import all_queries
 from catalog.inputs import AS_OF, Inputs
 
@@ -39,21 +37,11 @@ HEADLINE = [
 ]
 
 
-def archive(spark, folder: str) -> str:
-    """The readings as the archive holds them: gzip text under station, year and month folders."""
-    path = shared_folder(spark, "bench-archive")
-    places = ["locationid", "year", "month"]
-    rows = Inputs(spark, folder).measurements_raw.hint("rebalance", *places)
-    with write_sizing(spark, FOLDER_SIZING):
-        rows.write.partitionBy(*places).options(header=True, compression="gzip", quoteAll=True).csv(path)
-    return path
-
-
-def full_build(spark, folder: str, readings: str) -> None:
-    """A whole day's run from the gzip archive: all tables, forecasts, accuracy, every check."""
+def full_build(spark, folder: str) -> None:
+    """A whole day's run from text cells: all tables, forecasts, accuracy, every check."""
     inputs = Inputs(spark, folder)
     sources = {
-        "measurements_raw": read_measurements(spark, readings),
+        "measurements_raw": inputs.measurements_raw,
         "weather_raw": inputs.weather_raw,
         "stations": inputs.stations,
         "holidays": inputs.holidays,
@@ -75,9 +63,8 @@ def main() -> None:
             start = time.perf_counter()
             queries[name](spark, folder).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
-        readings = archive(spark, folder)
         start = time.perf_counter()
-        full_build(spark, folder, readings)
+        full_build(spark, folder)
         seconds["full_build_and_checks"] = round(time.perf_counter() - start, 3)
         spark.stop()
     result = {
