@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +26,8 @@ NEAR = 40  # code points before and after a span that are searched for context w
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Begun only where a run of digits begins, and runs taken whole: equal matches, and linear in long runs of digits.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
@@ -119,6 +121,19 @@ def _names(words: tuple[str, ...], text: str) -> bool:
     return any(re.search(rf"(?<!\w){re.escape(word)}", text) for word in words)
 
 
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends, in order, of the disjoint runs that the spans cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end, _ in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     if not _DIGIT.search(text):
         return []
@@ -128,9 +143,13 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         score += 0.4 * _names(CONTEXT[kind], near) - 0.3 * _names(AGAINST, near)
         if score >= ACCEPT:
             scored.append((-score, start, end, kind))
+    starts, ends = _covered(base)
     taken: list[Span] = []
     for _, start, end, kind in sorted(scored):
-        if all(end <= s or e <= start for s, e, _ in base + taken):
+        place = bisect_left(starts, end)
+        if not place or ends[place - 1] <= start:
+            starts.insert(place, start)
+            ends.insert(place, end)
             taken.append((start, end, kind))
     return taken
 

@@ -50,6 +50,17 @@ def test_added_spans():
     assert pii.added_spans("IBAN DE88 3704 0044 0532 0130 00 and 123-45-6789", []) == []
 
 
+def test_long_runs_and_many_spans():
+    run = "7" * 300_000
+    assert pii.base_spans(f"{run} 1.2.3.{run} 10.0.0.1.5.6.7.8") == [(600_008, 600_016, "ip"), (600_017, 600_024, "ip")]
+    line = "call 0301 234 5678, SSN 123-45-6789, mail a@b.de or 10.0.0.1; "
+    base = pii.base_spans(line * 5_000)
+    added = pii.added_spans(line * 5_000, base)
+    assert len(base) == len(added) == 10_000
+    spans = sorted(base + added)
+    assert all(before[1] <= after[0] for before, after in zip(spans, spans[1:]))
+
+
 def test_query_and_mask(spark):
     rng = random.Random(1)
     rows = awkward(rng) + [
