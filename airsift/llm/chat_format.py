@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from airsift.session import shared_folder
 
+# Turns of a part, about: parts are cut finer than the session's shuffles where the table needs it.
+PART_TURNS = 200_000
+
 START, SYSTEM, USER, ASSISTANT = range(4)
 STATES = ("", "system", "user", "assistant")
 MERGE, RELABEL, INSERT = 1.0, 2.0, 3.0
@@ -221,10 +224,11 @@ def repair(conversations: DataFrame, parts: int | None = None) -> DataFrame:
     ``rendered`` strings of a conversation, joined in order of turn, are the repaired conversation as text. Turns are
     ordered by turn (nulls first), then role and text, so ties and repeated rows have one order; their rows are all
     kept. Unknown and null roles are relabelled, null texts are empty. Turns without conv_id are one conversation. An
-    empty table gives no rows. ``parts`` is the number of parts, by default that of the session's shuffles.
+    empty table gives no rows. ``parts`` is the number of parts, by default that of the session's shuffles, or more where
+    the parts would have over ``PART_TURNS`` turns.
     """
     spark = conversations.sparkSession
-    count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-conversations.count() // PART_TURNS))
     order = ["conv_id", "turn", "role", "text"]
     table = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")
