@@ -166,7 +166,7 @@ def trusted_documents(labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that ``quality`` keeps, unchanged; rows with an id that it rejects in any row go."""
+    """The documents that ``quality`` keeps, unchanged; every row is judged by its own text."""
     spark = documents.sparkSession
     ratios = log_ratios(documents, trusted_documents(labels))
     judge = _judged(ratios, THRESHOLD)
