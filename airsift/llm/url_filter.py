@@ -1,12 +1,17 @@
 """URL filter: rules by host and path, and for other pages a tree of path templates judged by labelled purity.
 
-Per host, the segments of a path form a branch of a tree, down to ``DEPTH``; what is deeper is one segment ``**``. Runs
-of digits are generalised first. Then level by level, from the root:
+Per host, the segments of a path form a branch of a tree, down to the last of them. Runs of digits are generalised
+first. Then level by level, from the root:
 
 - a position with many values, most of them rare, is variable and becomes ``*``;
 - else branches whose share of good labelled pages does not differ from that of their siblings (a two-proportion test)
   are merged into ``*``, and those that differ are merged with those that differ to the same tenth of good pages.
 
+Pages below a node with fewer than ``DIFFERENT`` labels, with good or bad ones alone, or with one path, cannot differ at
+any later segment (a squared z is at most the number of labels): they take a ``*`` for each segment left, and no further
+level is read for them. Without any label they all have the purity of the prior, and the segments after ``DEPTH`` are
+written as a single ``*``. The SQL stops at ``DEPTH`` for labelled pages too, so it compares paths up to there only.
+
 A template is rejected if its purity, the share of good pages among its labelled ones, smoothed towards the share among
 all, is below ``PURITY``. All of this runs on counts by host and digit-free path, which Spark sums before any shuffle;
 pages then take the verdict of their path. DataFrame functions only.
@@ -15,13 +20,17 @@ pages then take the verdict of their path. DataFrame functions only.
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm.store import stored
 
+# Segments of unlabelled pages that get a step each.
 DEPTH = 4
+# Levels whose ended branches are kept as tables of their own.
+LEVELS_APART = 16
 # A position is variable from so many values on, if they have fewer than so many pages each on average.
 VARIABLE_VALUES, VARIABLE_MEAN = 16, 3
 # Squared z from which two branches differ.
@@ -68,14 +77,16 @@ def _template_table(pages: DataFrame) -> DataFrame:
     )
     parts = F.filter(F.split("shape", "/"), lambda part: part != "")
     tree = counts.withColumn("parts", parts).withColumn("template", F.lit(""))
-    for level in range(DEPTH + 1):
-        here = F.get("parts", F.lit(level)) if level < DEPTH else F.when(F.size("parts") > DEPTH, "**")
-        tree = tree.withColumn("part", here)
+    columns = ["host", "shape", "template", "n", "labelled", "n_good"]
+    done: list[DataFrame] = []
+    level = 0
+    while True:
+        tree = tree.withColumn("part", F.get("parts", F.lit(level)))
         node = ["host", "template", "part"]
         sums = [F.sum(c).alias(c) for c in ("n", "labelled", "n_good")]
-        branches = tree.groupBy(*node).agg(*sums)
+        branches = tree.groupBy(*node).agg(F.count("*").alias("shapes"), *sums)
         whole = branches.groupBy("host", "template").agg(
-            F.count("part").alias("values"), *(F.sum(F.when(F.col("part").isNotNull(), F.col(c))).alias(f"all_{c}") for c in ("n", "labelled", "n_good"))
+            F.count("part").alias("values"), *(F.sum(F.when(F.col("part").isNotNull(), F.col(c))).alias(f"all_{c}") for c in ("shapes", "n", "labelled", "n_good"))
         )
         rest, rest_good = F.col("all_labelled") - F.col("labelled"), F.col("all_n_good") - F.col("n_good")
         bad_all = F.col("all_labelled") - F.col("all_n_good")
@@ -84,13 +95,35 @@ def _template_table(pages: DataFrame) -> DataFrame:
         differs = (spread > 0) & (gap * gap * F.col("all_labelled") >= F.lit(DIFFERENT) * spread)
         variable = (F.col("values") >= VARIABLE_VALUES) & (F.col("all_n") < VARIABLE_MEAN * F.col("values"))
         tenth = F.expr("cast((10 * (n_good + 1)) div (labelled + 2) as string)")
-        decided = branches.join(whole, ["host", "template"]).select(*node, F.when(F.col("part").isNull(), "").when(differs & ~variable, F.concat(F.lit("/~"), tenth)).otherwise("/*").alias("step"))
-        renamed = decided.toDF("_host", "_template", "_part", "step")
+        step = F.when(F.col("part").isNull(), "").when(differs & ~variable, F.concat(F.lit("/~"), tenth)).otherwise("/*")
+        separable = (F.col("all_shapes") > 1) & (F.col("all_labelled") >= DIFFERENT) & (F.col("all_n_good") > 0) & (bad_all > 0)
+        decided = branches.join(whole, ["host", "template"]).select(
+            *node, step.alias("step"), (F.col("part").isNotNull() & separable).alias("open"), (F.col("part").isNotNull() & (F.col("all_labelled") == 0)).alias("blank")
+        )
+        renamed = decided.toDF("_host", "_template", "_part", "step", "open", "blank")
         same = (tree["host"] == renamed["_host"]) & (tree["template"] == renamed["_template"]) & tree["part"].eqNullSafe(renamed["_part"])
-        deeper = tree.join(renamed, same).drop("_host", "_template", "_part").withColumn("template", F.concat("template", "step")).drop("step")
+        left = F.size("parts") - level
+        steps = F.when(F.col("open") | F.col("part").isNull(), F.col("step")).otherwise(F.expr("repeat('/*', steps_left)"))
+        deeper = (
+            tree.join(renamed, same)
+            .withColumn("steps_left", F.when(F.col("blank"), F.least(left, F.lit(max(DEPTH - level, 0) + 1))).otherwise(left))
+            .withColumn("template", F.concat("template", steps))
+            .select(*columns, "parts", "open")
+        )
         # Each level reads the one above several times: stored, or the plan would grow by a power of the depth.
         tree = stored(deeper, f"level-{level}")
-    return tree.select("host", "shape", "template", "n", "labelled", "n_good")
+        done.append(tree.where(~F.col("open")).select(*columns))
+        tree = tree.where("open").select(*columns, "parts")
+        level += 1
+        if tree.isEmpty():
+            break
+        if len(done) == LEVELS_APART:
+            done = [stored(_union(done), "ended")]
+    return stored(_union(done), "tree")
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, tables)
 
 
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:

@@ -47,6 +47,21 @@ def test_bad_branch_is_rejected_and_similar_ones_merge(spark):
     assert got[241]["verdict"] == "allow" and got[242]["template"] == "/*/*/*/*/*"
 
 
+def test_branches_that_differ_at_any_depth_are_judged_apart(spark):
+    rows = []
+    for depth in (4, 5, 22):
+        start = "http://h.org/" + "/".join(f"d{depth}" for _ in range(depth))
+        rows += [(f"{start}/{part}/x{k}", good) for part, good in (("news", True), ("spam", False)) for k in range(30)] + [(f"{start}/spam/x", None), (f"{start}/news/x", None)]
+    # Too few labels to differ: a step for each segment.
+    rows += [(f"http://few.org/a/b/c/d/{part}/f", good) for part, good in (("p", True), ("q", False))] + [("http://few.org/a/b/c/d/p/f/g", None)]
+    got = judged(spark, rows)
+    for start in range(0, 186, 62):
+        assert {got[start + k]["verdict"] for k in [*range(30), 61]} == {"allow"}
+        assert {got[start + k]["verdict"] for k in [*range(30, 61)]} == {"block"}
+        assert len({got[start + k]["template"] for k in range(62)}) >= 2
+    assert got[186]["template"] == got[187]["template"] == "/*" * 6 and got[188]["template"] == "/*" * 7
+
+
 def test_empty(spark):
     assert url_filter.judge(spark.createDataFrame([], PAGES)).count() == 0
 
