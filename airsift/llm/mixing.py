@@ -3,17 +3,21 @@
 1. A softmax classifier, fitted on a labelled table, gives each document a probability for each domain. Its features
    are the presence of hashed words that tell the domains apart best, and shares of symbols, capitals and repeats.
 2. Documents get nonnegative rates. A domain's expected tokens are the sum over documents of rate * tokens *
-   probability; they shall be the target weights times all tokens. The rates minimise
+   probability; they shall be the target weights times all tokens. Of all rates that give this, those with the least
+   mean over tokens of (rate - 1)^2 are taken. They are max(0, 1 + sum over domains of multiplier * probability), and
+   the few multipliers are found by Newton steps, each one distributed sum over all documents, until every domain is
+   within ``TOLERANCE`` of its weight, relative to the weight. If no rates give the targets, a warning says so and the
+   rates minimise
 
        1/2 * sum over domains of (expected share - weight)^2 / weight  +  PENALTY/2 * mean over tokens of (rate - 1)^2
 
-   by projected gradient steps: each needs one distributed sum over all documents (as many numbers as domains), moves
-   every rate by its gradient and puts negative rates to 0.
+   with no divisor below ``LEAST_SCALE``.
 3. A rate becomes a whole number of copies: its floor, and one more for documents whose hashed id falls below the rest.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +33,12 @@ FIT_ROWS = 4_000
 BUCKETS = 1 << 15
 CHOSEN = 400
 FIT_STEPS, FIT_RATE, FIT_PENALTY = 200, 0.05, 2e-3
-PENALTY = 0.02
-MOVES, STORE_EVERY, TOLERANCE = 40, 5, 1e-4
+PENALTY, LEAST_SCALE = 0.02, 0.05
+TOLERANCE = 1e-4
+# What the multipliers may give away of the targets at first, relative to the weights, and then to come closer.
+GIVES = (1e-4, 1e-7, 1e-10)
+# Sums over all documents for one of these; Newton steps need about ten.
+MOST_SUMS = 100
 
 # Domains of the labels table and the share of tokens each shall have.
 TARGETS = {"clean": 0.93, "toxic": 0.04, "junk": 0.03}
@@ -162,51 +170,84 @@ def memberships(documents: DataFrame, model: Classifier) -> DataFrame:
     return texts.withColumn("tag", F.coalesce(F.hash("text"), F.lit(0))).mapInArrow(_memberships(model), schema)
 
 
+def _rate(names: list[str], multipliers: np.ndarray) -> Column:
+    rate = F.lit(1.0)
+    for name, value in zip(names, multipliers):
+        rate = rate + F.col(f"p_{name}") * F.lit(float(value))
+    return F.greatest(F.lit(0.0), rate)
+
+
+def _multipliers(members: DataFrame, names: list[str], weights: np.ndarray, total: float, give: np.ndarray, multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Multipliers with expected share - weight + give * multiplier = 0 in every domain, the shares, and if they are found.
+
+    They minimise the convex mean of rate^2 / 2 - weights * multipliers + give * multipliers^2 / 2.
+    """
+    pairs = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
+
+    def at(place: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        held = members.select("n_tokens", *(f"p_{name}" for name in names), _rate(names, place).alias("rate"))
+        share = [F.col("n_tokens") * F.col(f"p_{name}") for name in names]
+        sums = [F.sum(F.col("n_tokens") * F.col("rate") * F.col("rate")), *(F.sum(F.col("rate") * s) for s in share)]
+        sums += [F.sum(F.when(F.col("rate") > 0, share[a] * F.col(f"p_{names[b]}"))) for a, b in pairs]
+        found = np.array([v or 0.0 for v in held.agg(*(s.alias(f"s{k}") for k, s in enumerate(sums))).first()], dtype=np.float64) / total
+        shares = found[1 : len(names) + 1]
+        curve = np.diag(give).astype(np.float64)
+        for (a, b), value in zip(pairs, found[len(names) + 1 :]):
+            curve[a, b] += value
+            curve[b, a] = curve[a, b]
+        return found[0] / 2 - weights @ place + (give * place**2).sum() / 2, shares - weights + give * place, curve, shares
+
+    enough = TOLERANCE / 10 * np.where(weights > 0, weights, LEAST_SCALE)
+    value, slope, curve, shares = at(multipliers)
+    sums, part, move = 1, 1.0, None
+    while (np.abs(slope) > enough).any():
+        if move is None:
+            move, part = -np.linalg.solve(curve, slope), 1.0
+        if sums == MOST_SUMS or part < 1e-9:
+            return multipliers, shares, False
+        ahead = at(multipliers + part * move)
+        sums += 1
+        if ahead[0] <= value + 1e-4 * part * (slope @ move) + 1e-13 * (1 + abs(value)):
+            multipliers = multipliers + part * move
+            value, slope, curve, shares = ahead
+            move = None
+        else:
+            part /= 2
+    return multipliers, shares, True
+
+
 def fitted_rates(members: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """``members`` (n_tokens, p_<domain>) with a column ``rate``: see the module's text for what is minimised.
+    """``members`` (n_tokens, p_<domain>) with a column ``rate``: see the module's text for which rates are taken.
 
-    Targets are scaled to a sum of 1; a domain of weight 0 is held down by the tokens it has. Without tokens all rates
-    are 1.
+    Targets are scaled to a sum of 1. A domain of weight 0 gets nothing if the documents without any share in it can
+    give the other targets; else it is held down by the tokens it has. Without tokens all rates are 1.
     """
     names = list(targets)
     weights = np.array([targets[name] for name in names], dtype=np.float64)
     if not names or (weights < 0).any() or not weights.sum():
         raise ValueError("targets need weights of at least 0, one of them above")
     weights /= weights.sum()
-    state = members.withColumn("rate", F.lit(1.0))
     total = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     if not total:
-        return state
-    # A floor for the scale, so that small weights do not outweigh all others.
-    scale = np.maximum(weights, 0.05)
-    # With e = expected / total, the first part is 1/2 * sum (e - w)^2 / scale; its curvature along rates is the largest
-    # eigenvalue of the domains' second moments over the scales, which one more sum gives.
-    products = [F.sum(F.col("n_tokens") * F.col(f"p_{a}") * F.col(f"p_{b}")) for a in names for b in names]
-    moments = np.array(state.agg(*(p.alias(f"m{k}") for k, p in enumerate(products))).first(), dtype=np.float64).reshape(len(names), -1) / total
-    step = 1.0 / (np.linalg.eigvalsh(moments / np.sqrt(np.outer(scale, scale))).max() + PENALTY)
-    sums = [F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in names]
-    momentum_state = state.withColumn("ahead", F.col("rate"))
-    ahead = [F.sum(F.col("ahead") * F.col("n_tokens") * F.col(f"p_{name}")).alias(name) for name in names]
-    pace = 1.0
-    for move in range(1, MOVES + 1):
-        row = momentum_state.agg(*ahead).first()
-        error = (np.array([row[name] or 0.0 for name in names]) / total - weights) / scale
-        pull = F.lit(0.0)
-        for name, value in zip(names, error):
-            pull = pull + F.col(f"p_{name}") * F.lit(float(value))
-        moved = F.greatest(F.lit(0.0), F.col("ahead") - F.lit(step) * (pull + F.lit(PENALTY) * (F.col("ahead") - 1)))
-        quicker = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
-        before = momentum_state
-        momentum_state = before.withColumn("moved", moved).withColumn("ahead", F.col("moved") + F.lit((pace - 1) / quicker) * (F.col("moved") - F.col("rate")))
-        momentum_state = momentum_state.withColumn("rate", F.col("moved")).drop("moved")
-        pace = quicker
-        if move % STORE_EVERY == 0:
-            momentum_state = stored(momentum_state, "rates")
-            row = momentum_state.agg(*sums).first()
-            now = (np.array([row[name] or 0.0 for name in names]) / total - weights) / scale
-            if np.abs(now - error).max() < TOLERANCE:
-                break
-    return momentum_state.drop("ahead")
+        return members.withColumn("rate", F.lit(1.0))
+    wanted = [name for name, weight in zip(names, weights) if weight]
+    unwanted = F.lit(False)
+    for name, weight in zip(names, weights):
+        if not weight:
+            unwanted = unwanted | (F.col(f"p_{name}") > 0)
+    above = weights[weights > 0]
+    multipliers = np.zeros(len(wanted))
+    for give in GIVES:
+        multipliers, shares, found = _multipliers(members.where(~unwanted), wanted, above, total, give * above, multipliers)
+        if (np.abs(shares - above) <= TOLERANCE * above).all():
+            return members.withColumn("rate", F.when(unwanted, 0.0).otherwise(_rate(wanted, multipliers)))
+        if not found:
+            break
+    give = PENALTY * np.maximum(weights, LEAST_SCALE)
+    multipliers, shares, found = _multipliers(members, names, weights, total, give, np.zeros(len(names)))
+    said = ", ".join(f"{name} {share:.6f} for {weight:.6f}" for name, share, weight in zip(names, shares, weights))
+    warnings.warn(f"no rates were found that give the targets; {'nearest' if found else 'last'} shares: {said}", stacklevel=2)
+    return members.withColumn("rate", _rate(names, multipliers))
 
 
 def mix(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
+import warnings
 
 import numpy as np
+import pytest
 
 from airsift.llm import mixing
 from texts import awkward, documents, prose
@@ -31,6 +33,34 @@ def test_rates_are_the_least_squares_optimum(spark):
     assert np.abs((mine * share) @ p - w).max() < 0.06
 
 
+def expected_shares(spark, p, tokens, targets):
+    names = list(targets)
+    rows = [(k, 0, int(t), *map(float, q)) for k, (t, q) in enumerate(zip(tokens, p))]
+    members = spark.createDataFrame(rows, "doc_id long, tag int, n_tokens long, " + ", ".join(f"p_{n} double" for n in names))
+    got = mixing.fitted_rates(members, targets).collect()
+    assert all(r["rate"] >= 0 for r in got)
+    return np.array([sum(r["rate"] * r["n_tokens"] * r[f"p_{n}"] for r in got) for n in names]) / sum(tokens)
+
+
+@pytest.mark.parametrize("held, soft", [((0.95, 0.049, 0.001), 0), ((0.95, 0.0495, 0.0005), 0), ((0.05, 0.45, 0.5), 0), ((0.97, 0.029, 0.001), 0.004)])
+def test_rare_domains_get_their_targets(spark, held, soft):
+    rng = np.random.default_rng(1)
+    own = np.repeat(np.eye(3), np.round(2000 * np.array(held)).astype(int), axis=0)
+    p = (1 - soft) * own + soft * rng.dirichlet([1, 1, 1], len(own))
+    targets = {"clean": 0.93, "toxic": 0.04, "junk": 0.03}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        shares = expected_shares(spark, p, rng.integers(50, 60, len(p)), targets)
+    assert np.abs(shares / np.array(list(targets.values())) - 1).max() < 1e-3
+
+
+def test_targets_without_fitting_rates_are_reported(spark):
+    with pytest.warns(UserWarning, match="no rates were found"):
+        expected_shares(spark, [[0.5, 0.5]] * 4, [10] * 4, {"a": 0.9, "b": 0.1})
+    # Of weight 0 and apart from the others: nothing.
+    assert np.abs(expected_shares(spark, np.eye(3), [100, 1, 50], {"a": 0.5, "b": 0.5, "c": 0.0}) - [0.5, 0.5, 0]).max() < 1e-3
+
+
 def corpus(spark):
     rng = random.Random(2)
     rows = [(k, prose(rng, rng.randrange(60, 120)) + (" horrid nasty" if k % 4 == 0 else " kind")) for k in range(200)]
