@@ -12,7 +12,7 @@ shingles.
 
 Items are few and short against the corpus: while their sets are below ``INDEX_VALUES`` they travel with the tasks and
 documents are read once, without a shuffle. A larger benchmark is joined with the documents' shingles instead; results
-are the same.
+are the same. Each text is judged alone, also where several rows share an id or have none.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
@@ -32,7 +32,8 @@ WIDTH = 5
 # Shingles of all items that may be sent to every task: 16 MB.
 INDEX_VALUES = 2_000_000
 
-RESULT = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
+RESULT = "doc_id long, tag long, item_id long, n_item_shingles long, n_shared long, containment double"
+WINDOWS = "doc_id long, tag long, width long, shingle long"
 
 
 def sketch_size(sizes: np.ndarray, containment: int) -> np.ndarray:
@@ -123,12 +124,13 @@ def _searcher(items, containment: int):  # items: the rows of ``item_sets`` as a
                 yield pa.RecordBatch.from_arrays(
                     [
                         chunk.column("doc_id").take(pa.array(texts)),
+                        chunk.column("tag").take(pa.array(texts)),
                         ids.take(pa.array(hits)),
                         pa.array(sizes[hits]),
                         pa.array(shared),
                         pa.array(shared / sizes[hits]),
                     ],
-                    names=["doc_id", "item_id", "n_item_shingles", "n_shared", "containment"],
+                    names=["doc_id", "tag", "item_id", "n_item_shingles", "n_shared", "containment"],
                 )
 
     return rows
@@ -142,8 +144,8 @@ def _all_windows(widths: list[int]):
             for width in widths:
                 texts, shingles = tb.distinct(*tb.windows(words, values, width, short_whole=False))
                 yield pa.RecordBatch.from_arrays(
-                    [chunk.column("doc_id").take(pa.array(texts)), pa.array(np.full(len(texts), width)), pa.array(tb.as_signed(shingles))],
-                    names=["doc_id", "width", "shingle"],
+                    [*(chunk.column(key).take(pa.array(texts)) for key in ("doc_id", "tag")), pa.array(np.full(len(texts), width)), pa.array(tb.as_signed(shingles))],
+                    names=["doc_id", "tag", "width", "shingle"],
                 )
 
     return rows
@@ -156,32 +158,44 @@ def _joined(docs: DataFrame, items: DataFrame, containment: int) -> DataFrame:
     lacking = F.expr(f"n - cast(ceil({containment} * n / 100) as long) + 1")
     sketches = numbered.select("item", "width", F.expr("transform(array_sort(transform(shingles, s -> struct(xxhash64(s) as h, s as s))), p -> p.s)").alias("by_hash"), lacking.alias("size"))
     sketches = sketches.select("width", F.explode(F.slice("by_hash", F.lit(1), F.col("size").cast("int"))).alias("shingle")).distinct()
-    windows = docs.mapInArrow(_all_windows(widths), "doc_id long, width long, shingle long")
-    touched = stored(windows.join(sketches, ["width", "shingle"], "left_semi").select("doc_id").distinct(), "touched")
-    again = only_ids(docs, touched, ["doc_id"]).mapInArrow(_all_windows(widths), "doc_id long, width long, shingle long").distinct()
+    windows = docs.mapInArrow(_all_windows(widths), WINDOWS)
+    touched = stored(windows.join(sketches, ["width", "shingle"], "left_semi").select("doc_id", "tag").distinct(), "touched")
+    again = only_ids(docs, touched, ["doc_id", "tag"]).mapInArrow(_all_windows(widths), WINDOWS).distinct()
     whole = numbered.select("item_id", "item", "n", "width", F.explode("shingles").alias("shingle"))
-    shared = again.join(whole, ["width", "shingle"]).groupBy("doc_id", "item_id", "item", "n").agg(F.count("*").alias("n_shared"))
-    return shared.where(f"100 * n_shared >= {containment} * n").select("doc_id", "item_id", F.col("n").alias("n_item_shingles"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
+    shared = again.join(whole, ["width", "shingle"]).groupBy("doc_id", "tag", "item_id", "item", "n").agg(F.count("*").alias("n_shared"))
+    return shared.where(f"100 * n_shared >= {containment} * n").select("doc_id", "tag", "item_id", F.col("n").alias("n_item_shingles"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, containment: int = CONTAINMENT, index_values: int = INDEX_VALUES) -> DataFrame:
-    """One row for each document and item found in it: doc_id, item_id, n_item_shingles, n_shared and containment.
+def _tag(text: Column) -> Column:
+    """Rows are told apart by their id and this, a null text too."""
+    return F.xxhash64(text.cast("string"))
 
-    Several rows of one id give the best of them. Null and empty texts hold nothing and are never found; null ids are
-    reported as they are. Empty tables give no rows.
-    """
-    docs = documents_of(documents)
+
+def _found(documents: DataFrame, benchmark: DataFrame, containment: int, index_values: int) -> DataFrame:
+    """``RESULT``: a row for each text and item found in it, by either search; each text is judged alone."""
+    docs = documents_of(documents).withColumn("tag", _tag(F.col("text")))
     items = stored(item_sets(benchmark), "item-sets")
     total = items.agg(F.sum("n")).first()[0] or 0
     if total <= index_values:
-        found = docs.mapInArrow(_searcher(items.orderBy("width", "n", "item_id").toPandas(), containment), RESULT)
-    else:
-        found = _joined(docs, items, containment)
+        return docs.mapInArrow(_searcher(items.orderBy("width", "n", "item_id").toPandas(), containment), RESULT)
+    return _joined(docs, items, containment)
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, containment: int = CONTAINMENT, index_values: int = INDEX_VALUES) -> DataFrame:
+    """One row for each document and item found in it: doc_id, item_id, n_item_shingles, n_shared and containment.
+
+    Several rows of one id are judged each by its own text and give the best of them. Null and empty texts hold nothing
+    and are never found; null ids are reported as they are. Empty tables give no rows.
+    """
+    found = _found(documents, benchmark, containment, index_values)
     best = F.max(F.struct("containment", "n_item_shingles", "n_shared"))
     return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.n_item_shingles", "best.n_shared", "best.containment")
 
 
-def keep_clean(documents: DataFrame, benchmark: DataFrame, containment: int = CONTAINMENT) -> DataFrame:
-    """The documents in which no item was found, unchanged. Rows without an id stay only if no such row was hit."""
-    hit = stored(contaminated(documents, benchmark, containment).select("doc_id").distinct(), "contaminated")
-    return only_ids(documents, hit, ["doc_id"], "left_anti")
+def keep_clean(documents: DataFrame, benchmark: DataFrame, containment: int = CONTAINMENT, index_values: int = INDEX_VALUES) -> DataFrame:
+    """The rows in whose text no item was found, unchanged, whatever other rows have their id or none."""
+    tag = "_text_tag"
+    while tag in documents.columns:
+        tag = f"_{tag}"
+    hit = stored(_found(documents, benchmark, containment, index_values).select("doc_id", F.col("tag").alias(tag)).distinct(), "contaminated")
+    return only_ids(documents.withColumn(tag, _tag(F.col("text"))), hit, ["doc_id", tag], "left_anti").drop(tag)

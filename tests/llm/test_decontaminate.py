@@ -47,6 +47,24 @@ def test_both_searches_equal_brute_force(spark):
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(d) for d, _ in rows if d not in hit)
 
 
+def test_rows_of_one_id_or_of_none_are_judged_alone(spark):
+    rng = random.Random(4)
+    item = prose(rng, 40).split(" ")
+    whole, start, end = " ".join(item), " ".join(item[:24]), " ".join(item[16:])
+    split = [(1, start), (1, end), (None, start), (None, end), (None, None)]
+    hits = [(2, whole), (None, whole), (None, whole)]
+    near = [(2, prose(rng, 50)), (None, prose(rng, 50))]
+    tests = spark.createDataFrame([(7, whole)], "item_id long, text string")
+    for index_values in (decontaminate.INDEX_VALUES, 0):
+        assert decontaminate.contaminated(documents(spark, split), tests, index_values=index_values).count() == 0
+        docs = documents(spark, split + hits + near)
+        found = decontaminate.contaminated(docs, tests, index_values=index_values).collect()
+        assert sorted(((r["doc_id"], r["n_shared"]) for r in found), key=str) == [(2, 36), (None, 36)]
+        kept = decontaminate.keep_clean(docs, tests, index_values=index_values)
+        assert kept.columns == docs.columns
+        assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, split + near))
+
+
 def test_empty_tables(spark):
     docs, tests = documents(spark, []), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(docs, spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).count() == 0
