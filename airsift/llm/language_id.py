@@ -6,7 +6,8 @@ characters, then three, two and one; n-grams know whether they begin or end the
 was learned says nothing. A document's score in a language is the mean over its words.
 
 The model is fitted on a bounded sample: about ``ROWS_PER_LANGUAGE`` labelled rows of each language, those with the
-least hashed ids, and the ``MODEL_ENTRIES`` most frequent words and n-grams among them. Every document is scored.
+least hashed ids. Every word and n-gram found there ``LEAST_COUNT`` times is learned, so a language keeps its own however
+many others there are; only counts above 0 are stored. Every document is scored.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from airsift.llm import textbatch as tb
 from airsift.llm.store import small_batches
 
 ROWS_PER_LANGUAGE = 1_000
-MODEL_ENTRIES = 200_000
 LEAST_COUNT = 2
 LONGEST_GRAM = 4
 UNKNOWN = "und"
@@ -96,47 +96,55 @@ def _counted(languages: list[str]):
     return rows
 
 
+class _Table:
+    """Log frequencies of sorted keys: what a language gives any known key, and what is added where it has the key."""
+
+    def __init__(self, keys: np.ndarray, langs: np.ndarray, counts: np.ndarray, languages: int):
+        order = np.lexsort((langs, keys))
+        keys, self.langs, counts = keys[order], langs[order].astype(np.int32), counts[order]
+        self.keys, first = np.unique(keys, return_index=True)
+        self.bounds = np.append(first, len(keys))
+        whole = np.bincount(self.langs, weights=counts, minlength=languages) + 0.5 * len(self.keys)
+        self.unseen = np.log(0.5 / whole)
+        self.more = np.log((counts + 0.5) / 0.5).astype(np.float32)
+
+    def sums(self, of: np.ndarray, keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each of ``size`` owners: how many of its keys are known, and the sum of their logs by language."""
+        languages = len(self.unseen)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        of, at = of[known], at[known]
+        hits = np.bincount(of, minlength=size)
+        many = self.bounds[at + 1] - self.bounds[at]
+        entry = np.repeat(self.bounds[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        cells = np.repeat(of, many) * languages + self.langs[entry]
+        more = np.bincount(cells, weights=self.more[entry], minlength=size * languages).reshape(size, languages)
+        return hits, hits[:, None] * self.unseen + more
+
+
 class Model:
-    """Log frequencies by language of words (size 0) and n-grams, found by sorted keys."""
+    """Log frequencies by language of words (size 0) and n-grams."""
 
     def __init__(self, languages: list[str], entries: pd.DataFrame):
         self.languages = languages
-        self.keys: dict[int, np.ndarray] = {}
-        self.logs: dict[int, np.ndarray] = {}
+        self.tables: dict[int, _Table] = {}
         for size, part in entries.groupby("size"):
-            keys, place = np.unique(part["key"].to_numpy(dtype=np.int64).view(np.uint64), return_inverse=True)
-            counts = np.zeros((len(keys), len(languages)))
-            counts[place, part["lang"].to_numpy(dtype=np.int64)] = part["count"].to_numpy()
-            totals = counts.sum(axis=0)
-            self.keys[int(size)] = keys
-            self.logs[int(size)] = np.log((counts + 0.5) / (totals + 0.5 * len(keys))).astype(np.float32)
-
-    def find(self, size: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys are known, and the rows of those."""
-        table = self.keys.get(size)
-        if table is None or not len(keys):
-            return np.zeros(len(keys), dtype=bool), np.zeros((0, len(self.languages)), dtype=np.float32)
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        known = table[at] == keys
-        return known, self.logs[size][at[known]]
+            keys = part["key"].to_numpy(dtype=np.int64).view(np.uint64)
+            self.tables[int(size)] = _Table(keys, part["lang"].to_numpy(dtype=np.int64), part["count"].to_numpy(dtype=np.int64), len(languages))
 
     def word_scores(self, letters: _Letters, words: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """A row of log frequencies for each of ``words``; NaN where nothing is known."""
         scores = np.full((len(words), len(self.languages)), np.nan, dtype=np.float32)
-        known, rows = self.find(0, keys)
-        scores[known] = rows
-        open_words = np.flatnonzero(~known)
-        for size in range(LONGEST_GRAM, 0, -1):
+        open_words = np.arange(len(words))
+        for size in (0, *range(LONGEST_GRAM, 0, -1)):
             if not len(open_words):
                 break
-            of, grams = letters.grams(words[open_words], size)
-            known, rows = self.find(size, grams)
-            of = of[known]
-            hits = np.bincount(of, minlength=len(open_words))
+            if size not in self.tables:
+                continue
+            of, found = letters.grams(words[open_words], size) if size else (open_words, keys)
+            hits, sums = self.tables[size].sums(of, found, len(open_words))
             some = hits > 0
-            for language in range(len(self.languages)):
-                total = np.bincount(of, weights=rows[:, language], minlength=len(open_words))
-                scores[open_words[some], language] = (total[some] / hits[some]).astype(np.float32)
+            scores[open_words[some]] = sums[some] / hits[some, None]
             open_words = open_words[~some]
         return scores
 
@@ -189,7 +197,7 @@ def fit(documents: DataFrame) -> Model:
         share = F.when(F.col("lang") == name, F.lit(min(_HASHED, _HASHED * ROWS_PER_LANGUAGE // totals[name]))).otherwise(share)
     sample = labelled.where(hashed < share).select("text", "lang")
     counts = sample.mapInArrow(_counted(languages), "size long, key long, lang long, count long").groupBy("size", "key", "lang").agg(F.sum("count").alias("count"))
-    entries = counts.where(F.col("count") >= LEAST_COUNT).orderBy(F.desc("count"), "size", "key", "lang").limit(MODEL_ENTRIES)
+    entries = counts.where(F.col("count") >= LEAST_COUNT).select(F.col("size").cast("byte").alias("size"), "key", F.col("lang").cast("int").alias("lang"), "count")
     return Model(languages, entries.toPandas())
 
 

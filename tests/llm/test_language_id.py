@@ -80,6 +80,25 @@ def test_scores_equal_brute_force(spark):
         assert abs(got[k]["score"] - 1 / (1 + math.exp(-abs(gap)))) < 1e-4
 
 
+def test_a_rare_language_keeps_its_entries_beside_many_others(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, rare = [], "zurqo vexim plodda"
+    for lang in range(6):
+        words = ["".join(rng.choice(letters) for _ in range(9)) for _ in range(6_000)]
+        rows += [(lang * 1000 + k, " ".join(words[60 * k : 60 * k + 60] * 3), f"l{lang}") for k in range(100)]
+    # Each word twice in all, under the counts of the others.
+    learned = [k for k in range(9000, 9050) if zlib.crc32(str(k).encode()) % 5][:2]
+    rows += [(k, rare, "rr") for k in learned]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert sum(len(t.langs) for t in model.tables.values()) > 200_000
+    place = model.languages.index("rr")
+    assert (model.tables[0].langs == place).sum() == 3
+    got = language_id.identify(spark.createDataFrame([(1, rare)], "doc_id long, text string"), model).collect()
+    assert got[0]["lang_pred"] == "rr"
+
+
 def test_nothing_to_learn_from_and_empty(spark):
     docs = documents(spark, ["some words"], lang=None)
     assert [tuple(r)[2:] for r in language_id.identify(docs).collect()] == [("und", 0.0)]
