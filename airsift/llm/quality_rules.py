@@ -1,6 +1,6 @@
 """Quality rules: counts of words, symbols and repeats, and a hashed n-gram log-likelihood ratio.
 
-The ratio compares two multinomials over hashed word n-grams (single words and pairs): one counted on trusted
+The ratio compares two multinomials over hashed word n-grams (single words and pairs): one counted on all trusted
 documents, one on the whole corpus, with ``SMOOTHING`` added to a bucket's count among trusted documents and to the
 count expected there from the corpus, so that rare buckets say little. A document's score is the mean over its n-grams
 of log(trusted / corpus), so long and short texts compare. A document is kept if no count rule fails and its score is at
@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
-from airsift.llm.store import documents_of, small_batches
+from airsift.llm.store import BROADCAST_IDS, documents_of, small_batches, stored
 
 BUCKETS = 1 << 16
-# Trusted rows that are counted: those with the least hashed ids. The corpus is counted in full.
-TRUSTED_ROWS = 20_000
 SMOOTHING = 10.0
 THRESHOLD = -0.08
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -67,12 +65,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
     """log(trusted / corpus) of each bucket; ``trusted`` has the doc_id of documents known to be good."""
-    chosen = (
-        trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id is not null").distinct()
-        .orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(TRUSTED_ROWS)
-    )
+    chosen = stored(trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id is not null").distinct(), "trusted")
+    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
     docs = documents_of(documents)
-    marked = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
+    marked = docs.join(side, F.col("doc_id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
     sums = marked.mapInArrow(_counts, "bucket long, trusted long, corpus long").groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("corpus").alias("corpus"))
     found = sums.toPandas()  # at most BUCKETS rows
     counts = np.zeros((2, BUCKETS))

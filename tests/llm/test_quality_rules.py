@@ -1,7 +1,9 @@
+import math
 import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from airsift.llm import quality_rules, textbatch
 from texts import awkward, documents, prose, words
@@ -85,3 +87,12 @@ def test_without_trusted_or_documents(spark):
     got = quality_rules.quality(documents(spark, [prose(random.Random(1), 80), "few"]), none).collect()
     assert [(r["kept"], r["log_ratio"]) for r in sorted(got)] == [(True, 0.0), (False, 0.0)]
     assert quality_rules.quality(documents(spark, []), none).count() == 0
+
+
+def test_all_trusted_documents_are_counted(spark):
+    count = 21_000
+    docs = spark.range(count).selectExpr("id as doc_id", "'good' as text").union(spark.range(count, count + 100).selectExpr("id", "'bad'"))
+    ratios = quality_rules.log_ratios(docs, spark.range(count).selectExpr("id as doc_id"))
+    smooth = quality_rules.SMOOTHING
+    wanted = sorted([math.log((count + smooth) / (count * count / (count + 100) + smooth)), math.log(smooth / (100 * count / (count + 100) + smooth))])
+    assert sorted(ratios[ratios != 0]) == pytest.approx(wanted)
