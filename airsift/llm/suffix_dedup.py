@@ -1,14 +1,14 @@
-"""Repeated passages of bytes: a radix sort of suffixes, only through the threshold, by most significant digits.
+"""Repeated passages of bytes: suffixes grouped by fingerprints of anchored digits, only through the threshold.
 
-Each start of a ``threshold``-byte string is a suffix. Suffixes are grouped by their leading bytes, then groups of two
-or more by more of them, through exactly ``threshold`` bytes; groups that still have two members are the repeated
-strings. A suffix leaves as soon as it is alone, so few reach the last pass. Digits are long, and suffixes that share
-their digit move together:
+Each start of a ``threshold``-byte string is a suffix; strings that two or more suffixes start with are the repeated
+ones. Nothing is radix sorted and no digit is the leading bytes: that takes a row for every byte of text in the first
+pass. Grouping by fingerprints replaces the passes and finds the same strings, up to collisions. A suffix leaves as soon
+as it is alone, so few reach the last step, and suffixes that share a digit move together:
 
-1. The anchor of a suffix is the position with the least hash in its first ``SPREAD`` bytes: equal suffixes have equal
-   anchors. Suffixes with one anchor, about a hundred in a row, form a block. Digit: the bytes from the anchor on that
-   all of them hold. A block whose whole extent recurs is repeated throughout and settled; an anchor whose digit is
-   alone is unique throughout.
+1. The anchor of a suffix is the position with the least hash in its first ``SPREAD`` bytes (winnowing): equal suffixes
+   have equal anchors. Suffixes with one anchor, about a hundred in a row, form a block. Digit: the bytes from the anchor
+   on that all of them hold, 209 at a threshold of 400, which begin up to 191 bytes inside the suffix. A block whose whole
+   extent recurs is repeated throughout and settled; an anchor whose digit is alone is unique throughout.
 2. What is left is cut into steps of ``STEP`` suffixes, counted from the anchor, and treated alike: digit is what all
    suffixes of the step hold.
 3. Then single suffixes; digit is the whole string.
