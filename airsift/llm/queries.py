@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airsift.llm import chat_format, decontaminate, language_id, mixing, near_dedup, pii, quality_crf, quality_rules, suffix_dedup, url_filter
+from airsift.llm import (
+    chat_format, decontaminate, golay_simhash, language_id, mixing, near_dedup, pii, quality_crf,
+    quality_rules, suffix_dedup, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -75,3 +78,8 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op8_url_filter"] = url_filter.oracle()
+
+
+@query
+def op11_golay_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return golay_simhash.near_duplicates(_table(spark, folder, "documents"))
