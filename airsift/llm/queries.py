@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from airsift.llm import (
-    chat_format, decontaminate, golay_simhash, language_id, mixing, near_dedup, pii, quality_crf,
+    chat_format, decontaminate, golay_simhash, language_id, merkle_manifest, mixing, near_dedup, pii, quality_crf,
     quality_rules, suffix_dedup, url_filter,
 )
 
@@ -83,3 +83,11 @@ SQL["op8_url_filter"] = url_filter.oracle()
 @query
 def op11_golay_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return golay_simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.manifest(_table(spark, folder, "documents"), merkle_manifest.without_line_breaks)
+
+
+SQL["op12_merkle_manifest"] = merkle_manifest.oracle()
