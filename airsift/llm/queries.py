@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from airsift.llm import (
-    chat_format, decontaminate, golay_simhash, language_id, merkle_manifest, mixing, near_dedup, pii, quality_crf,
+    chat_format, decontaminate, golay_simhash, importance, language_id, merkle_manifest, mixing, near_dedup, pii, quality_crf,
     quality_rules, suffix_dedup, url_filter,
 )
 
@@ -91,3 +91,11 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op12_merkle_manifest"] = merkle_manifest.oracle()
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+SQL["op13_importance_resampling"] = importance.oracle()
