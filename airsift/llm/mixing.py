@@ -164,10 +164,10 @@ def _memberships(model: Classifier):
 
 
 def memberships(documents: DataFrame, model: Classifier) -> DataFrame:
-    """doc_id, tag (a hash of the text), n_tokens and p_<domain> of every document."""
+    """doc_id, tag (a 64-bit hash of the text), n_tokens and p_<domain> of every document."""
     texts = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, tag int, n_tokens long, " + ", ".join(f"p_{name} double" for name in model.domains)
-    return texts.withColumn("tag", F.coalesce(F.hash("text"), F.lit(0))).mapInArrow(_memberships(model), schema)
+    schema = "doc_id long, tag long, n_tokens long, " + ", ".join(f"p_{name} double" for name in model.domains)
+    return texts.withColumn("tag", F.xxhash64("text")).mapInArrow(_memberships(model), schema)
 
 
 def _rate(names: list[str], multipliers: np.ndarray) -> Column:
@@ -277,6 +277,6 @@ def with_copies(documents: DataFrame, labelled: DataFrame, targets: dict[str, fl
     )
     chosen = chosen.select(F.col("doc_id").alias("mixed_id"), F.col("tag").alias("mixed_tag"), "n_tokens", "rate", "copies")
     kept = documents.drop("n_tokens", "rate", "copies", "mixed_id", "mixed_tag")
-    tag = F.coalesce(F.hash(kept["text"].cast("string")), F.lit(0))
+    tag = F.xxhash64(kept["text"].cast("string"))
     joined = kept.join(chosen, kept["doc_id"].cast("long").eqNullSafe(chosen["mixed_id"]) & (tag == chosen["mixed_tag"]))
     return joined.drop("mixed_id", "mixed_tag")

@@ -37,7 +37,7 @@ SPREAD = 0.5
 GRAM = 8
 STEP = 16
 
-BLOCKS = "doc_id long, tag int, low int, high int, anchor int, digit long, extent long"
+BLOCKS = "doc_id long, tag long, low int, high int, anchor int, digit long, extent long"
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -176,7 +176,7 @@ def repeated_starts(docs: DataFrame, threshold: int) -> DataFrame:
     open_blocks = here.where(F.col("different") > 1).where((F.col("n") == 1) | F.col("first").eqNullSafe(place))
     open_blocks = open_blocks.select("doc_id", "tag", "low", "high", "anchor", (F.col("n") > 1).alias("settled"))
     open_blocks = stored(open_blocks.distinct(), "open-blocks")
-    schema = "doc_id long, tag int, low int, high int, settled boolean, digit long, extent long, strings array<long>"
+    schema = "doc_id long, tag long, low int, high int, settled boolean, digit long, extent long, strings array<long>"
     steps = stored(_with_spans(docs, open_blocks, ["low", "high", "anchor", "settled"]).mapInArrow(_steps(threshold), schema).dropDuplicates(["doc_id", "tag", "low", "high"]), "steps")
     extents = steps.groupBy("digit", "extent").agg(F.count("*").alias("n"), F.max("settled").alias("known"), F.min(place).alias("first"))
     extents = stored(extents, "step-extents")
@@ -198,9 +198,10 @@ def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFram
 
     Removed is each UTF-8 byte covered by a ``threshold``-byte string that also starts anywhere else, in this or another
     row; strings are judged on the input. Null and empty texts have no bytes. Every row is a text of its own: repeated
-    rows repeat each other, and null ids do no harm. An empty table gives no rows.
+    rows repeat each other. Rows of one id, or of none, are told apart by a 64-bit hash of the text. An empty table gives
+    no rows.
     """
-    docs = documents_of(documents).withColumn("tag", F.coalesce(F.hash("text"), F.lit(0)))
+    docs = documents_of(documents).withColumn("tag", F.xxhash64("text"))
     spans = stored(repeated_starts(docs, threshold), "repeats")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     hit = _with_spans(docs, spans, ["low", "high"]).mapInArrow(_covered(threshold), schema)

@@ -42,5 +42,14 @@ def test_removed_bytes_equal_brute_force(spark, threshold):
     assert sum(r["n_removed"] for r in got) > 0
 
 
+def test_rows_without_id_whose_short_hashes_collide(spark):
+    """The first two texts have one 32-bit hash; they are of different lengths."""
+    rows = [(None, "t36232 abcdefghij "), (None, "t119875 abcdefghij "), (None, "t36232 abcdefghij"), (None, None), (None, "")]
+    frame = documents(spark, rows)
+    assert frame.selectExpr("hash(text) as h").distinct().count() == len(rows) - 1
+    got = suffix_dedup.remove_repeats(frame, 12).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 12)
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
