@@ -3,15 +3,21 @@
 1. A softmax classifier, fitted on a labelled table, gives each document a probability for each domain. Its features
    are the presence of hashed words that tell the domains apart best, and shares of symbols, capitals and repeats.
 2. Documents get nonnegative rates. A domain's expected tokens are the sum over documents of rate * tokens *
-   probability; they shall be the target weights times all tokens. Of all rates that give this, those with the least
-   mean over tokens of (rate - 1)^2 are taken. They are max(0, 1 + sum over domains of multiplier * probability), and
-   the few multipliers are found by Newton steps, each one distributed sum over all documents, until every domain is
-   within ``TOLERANCE`` of its weight, relative to the weight. If no rates give the targets, a warning says so and the
-   rates minimise
+   probability; they shall be the target weights times all tokens. The rates come from projected-gradient least squares:
+   from 1 on, each step moves all rates against the gradient of
 
-       1/2 * sum over domains of (expected share - weight)^2 / weight  +  PENALTY/2 * mean over tokens of (rate - 1)^2
+       1/2 * error' * moments^-1 * error,   error = expected shares - weights,
+       moments = mean over tokens of probability * probability'
 
-   with no divisor below ``LEAST_SCALE``.
+   and sets negative ones to 0, until every domain is within ``TOLERANCE`` of its weight, relative to it. In this metric
+   a whole step is always safe, and exact while no rate meets 0, so rates stay close to 1. A step is one distributed sum
+   over all documents, one number a domain. If the error stops falling, no rates give the targets: the rows say so
+   (``targets_met``, ``residual``), and the rates are those that minimise
+
+       1/2 * sum over domains of error^2 / weight  +  PENALTY/2 * mean over tokens of (rate - 1)^2
+
+   with no divisor below ``LEAST_SCALE``: max(0, 1 + sum over domains of multiplier * probability), with multipliers
+   from Newton steps.
 3. A rate becomes a whole number of copies: its floor, and one more for documents whose hashed id falls below the rest.
 """
 
@@ -35,9 +41,10 @@ CHOSEN = 400
 FIT_STEPS, FIT_RATE, FIT_PENALTY = 200, 0.05, 2e-3
 PENALTY, LEAST_SCALE = 0.02, 0.05
 TOLERANCE = 1e-4
-# What the multipliers may give away of the targets at first, relative to the weights, and then to come closer.
-GIVES = (1e-4, 1e-7, 1e-10)
-# Sums over all documents for one of these; Newton steps need about ten.
+# Gradient steps in which the error must fall by a tenth, else the targets are out of reach; and after so many the rates
+# so far are stored, so that a plan holds no more steps than that.
+STEPS_TO_FALL, STORE_STEPS = 40, 10
+# Newton sums for the penalised rates; about ten are needed.
 MOST_SUMS = 100
 
 # Domains of the labels table and the share of tokens each shall have.
@@ -216,42 +223,69 @@ def _multipliers(members: DataFrame, names: list[str], weights: np.ndarray, tota
     return multipliers, shares, True
 
 
+def _projected(members: DataFrame, names: list[str], weights: np.ndarray, total: float) -> tuple[DataFrame, float, int]:
+    """``members`` with the rates of projected-gradient least squares, the largest error relative to its weight, and the steps."""
+    share = {name: F.col("n_tokens") * F.col(f"p_{name}") for name in names}
+    pairs = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
+    found = members.agg(*(F.sum(share[names[a]] * F.col(f"p_{names[b]}")).alias(f"m{a}_{b}") for a, b in pairs)).first()
+    moments = np.zeros((len(names), len(names)))
+    for (a, b), value in zip(pairs, found):
+        moments[a, b] = moments[b, a] = float(value or 0) / total
+    metric = np.linalg.pinv(moments, hermitian=True)
+    rates = members.withColumn("rate", F.lit(1.0))
+    worst: list[float] = []
+    while True:
+        sums = rates.agg(*(F.sum(F.col("rate") * share[name]).alias(name) for name in names)).first()
+        error = np.array([float(value or 0) for value in sums]) / total - weights
+        worst.append(float((np.abs(error) / weights).max()))
+        steps = len(worst) - 1
+        if worst[-1] <= TOLERANCE or steps >= STEPS_TO_FALL and worst[-1] > 0.9 * worst[-1 - STEPS_TO_FALL]:
+            return rates, worst[-1], steps
+        move = F.col("rate")
+        for name, value in zip(names, metric @ error):
+            move = move - F.col(f"p_{name}") * F.lit(float(value))
+        rates = rates.withColumn("rate", F.greatest(F.lit(0.0), move))
+        if (steps + 1) % STORE_STEPS == 0:
+            rates = stored(rates, "rates")
+
+
 def fitted_rates(members: DataFrame, targets: dict[str, float]) -> DataFrame:
-    """``members`` (n_tokens, p_<domain>) with a column ``rate``: see the module's text for which rates are taken.
+    """``members`` (n_tokens, p_<domain>) with ``rate``, ``targets_met`` and ``residual`` (largest error relative to its weight).
 
-    Targets are scaled to a sum of 1. A domain of weight 0 gets nothing if the documents without any share in it can
-    give the other targets; else it is held down by the tokens it has. Without tokens all rates are 1.
+    See the module's text for the rates. Targets are scaled to a sum of 1. A domain of weight 0 gets nothing if the
+    documents without any share in it can give the other targets; else it is held down by the tokens it has, and its
+    error counts in full. Without tokens all rates are 1 and the targets count as met.
     """
     names = list(targets)
     weights = np.array([targets[name] for name in names], dtype=np.float64)
     if not names or (weights < 0).any() or not weights.sum():
         raise ValueError("targets need weights of at least 0, one of them above")
     weights /= weights.sum()
+
+    def told(rates: DataFrame, met: bool, residual: float) -> DataFrame:
+        return rates.withColumns({"targets_met": F.lit(met), "residual": F.lit(float(residual))})
+
     total = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     if not total:
-        return members.withColumn("rate", F.lit(1.0))
+        return told(members.withColumn("rate", F.lit(1.0)), True, 0.0)
     wanted = [name for name, weight in zip(names, weights) if weight]
     unwanted = F.lit(False)
     for name, weight in zip(names, weights):
         if not weight:
             unwanted = unwanted | (F.col(f"p_{name}") > 0)
-    above = weights[weights > 0]
-    multipliers = np.zeros(len(wanted))
-    for give in GIVES:
-        multipliers, shares, found = _multipliers(members.where(~unwanted), wanted, above, total, give * above, multipliers)
-        if (np.abs(shares - above) <= TOLERANCE * above).all():
-            return members.withColumn("rate", F.when(unwanted, 0.0).otherwise(_rate(wanted, multipliers)))
-        if not found:
-            break
+    rates, residual, _ = _projected(members.where(~unwanted), wanted, weights[weights > 0], total)
+    if residual <= TOLERANCE:
+        return told(rates.union(members.where(unwanted).withColumn("rate", F.lit(0.0))), True, residual)
     give = PENALTY * np.maximum(weights, LEAST_SCALE)
     multipliers, shares, found = _multipliers(members, names, weights, total, give, np.zeros(len(names)))
     said = ", ".join(f"{name} {share:.6f} for {weight:.6f}" for name, share, weight in zip(names, shares, weights))
     warnings.warn(f"no rates were found that give the targets; {'nearest' if found else 'last'} shares: {said}", stacklevel=2)
-    return members.withColumn("rate", _rate(names, multipliers))
+    residual = (np.abs(shares - weights) / np.where(weights > 0, weights, 1)).max()
+    return told(members.withColumn("rate", _rate(names, multipliers)), False, residual)
 
 
 def mix(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """One row per document: doc_id, n_tokens, p_<domain>, rate (0 or more) and copies (a whole number).
+    """One row per document: doc_id, n_tokens, p_<domain>, rate (0 or more), targets_met, residual and copies (a whole number).
 
     Null and empty texts have no tokens; their rate moves with their probabilities, without effect on the totals. Rows
     without an id and repeated rows count like others; equal rows get equal copies. An empty table gives no rows; without

@@ -15,7 +15,10 @@ def test_rates_are_the_least_squares_optimum(spark):
     rows = [(k, 0, int(t), *map(float, q)) for k, (t, q) in enumerate(zip(tokens, p))]
     members = spark.createDataFrame(rows, "doc_id long, tag int, n_tokens long, p_a double, p_b double, p_c double")
     targets = {"a": 0.8, "b": 0.2, "c": 0.0}
-    got = {r["doc_id"]: r["rate"] for r in mixing.fitted_rates(members, targets).collect()}
+    with pytest.warns(UserWarning, match="no rates were found"):
+        rows = mixing.fitted_rates(members, targets).collect()
+    got = {r["doc_id"]: r["rate"] for r in rows}
+    assert {r["targets_met"] for r in rows} == {False} and rows[0]["residual"] > mixing.TOLERANCE
     w, scale = np.array([0.8, 0.2, 0.0]), np.array([0.8, 0.2, 0.05])
     share = tokens / tokens.sum()
 
@@ -61,6 +64,33 @@ def test_targets_without_fitting_rates_are_reported(spark):
     assert np.abs(expected_shares(spark, np.eye(3), [100, 1, 50], {"a": 0.5, "b": 0.5, "c": 0.0}) - [0.5, 0.5, 0]).max() < 1e-3
 
 
+@pytest.mark.parametrize("weights", [(0.5, 0.3, 0.2), (0.86, 0.1, 0.04), (0.1, 0.1, 0.8)])
+def test_rates_equal_plain_projected_gradient_and_stay_close_to_one(spark, weights):
+    rng = np.random.default_rng(7)
+    p = rng.dirichlet([0.25, 0.25, 0.25], 300)
+    tokens = rng.integers(0, 400, 300)
+    share, w = tokens / tokens.sum(), np.array(weights)
+    rows = [(k, 0, int(t), *map(float, q)) for k, (t, q) in enumerate(zip(tokens, p))]
+    members = spark.createDataFrame(rows, "doc_id long, tag long, n_tokens long, p_a double, p_b double, p_c double")
+    got = mixing.fitted_rates(members, dict(zip("abc", weights))).collect()
+    assert all(r["targets_met"] and r["residual"] <= mixing.TOLERANCE for r in got)
+    mine = np.zeros(300)
+    mine[[r["doc_id"] for r in got]] = [r["rate"] for r in got]
+    rate, metric = np.ones(300), np.linalg.inv((p * share[:, None]).T @ p)
+    while (np.abs((rate * share) @ p - w) > mixing.TOLERANCE * w).any():
+        rate = np.maximum(0, rate - p @ metric @ ((rate * share) @ p - w))
+    assert np.abs(mine - rate).max() < 1e-6
+    # The closest of all rates that give the targets: multipliers at tight tolerance.
+    multipliers, _, found = mixing._multipliers(members, list("abc"), w, float(tokens.sum()), 1e-9 * w, np.zeros(3))
+    best = np.maximum(0, 1 + p @ multipliers)
+    assert found and (share * (mine - 1) ** 2).sum() <= 1.1 * (share * (best - 1) ** 2).sum()
+
+
+def plain_copies(rows):
+    """A rate's floor, and one more for ids whose hash falls below the rest: between the two, and right on average."""
+    return all(int(np.floor(r["rate"])) <= r["copies"] <= int(np.ceil(r["rate"])) for r in rows)
+
+
 def corpus(spark):
     rng = random.Random(2)
     rows = [(k, prose(rng, rng.randrange(60, 120)) + (" horrid nasty" if k % 4 == 0 else " kind")) for k in range(200)]
@@ -80,6 +110,7 @@ def test_mix(spark):
     for r in got:
         assert abs(r["p_clean"] + r["p_toxic"] - 1) < 1e-9 and r["rate"] >= 0
         assert r["copies"] in (int(np.floor(r["rate"])), int(np.floor(r["rate"])) + 1)
+    assert plain_copies(got)
     assert own[900]["n_tokens"] == 0
     assert len({tuple(r) for r in got if r["doc_id"] == 913}) == 1
     total = sum(r["n_tokens"] for r in got)
