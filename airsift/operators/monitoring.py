@@ -22,7 +22,7 @@ def completeness(
     An empty mart counts as no active station today. Old data raises no alert, since
     a late archive is not a failure of the job.
     """
-    # Joining on the newest date prunes the scan to that day's partition.
+    # Over a stored table ``plans.serve.completeness`` hands over the newest month only.
     newest_date = daily_aqi.agg(F.max("measurement_date").alias("measurement_date"))
     newest = (
         daily_aqi.select("measurement_date", "location_id")

@@ -18,8 +18,9 @@ HOURS = list(range(24))
 def latest_station_aqi(daily_aqi: DataFrame, as_of: dt.date, days: int = 7) -> DataFrame:
     """Newest row of each station within the last days.
 
-    The date bound reaches the scan as a partition filter; picking the newest row is
-    a partial aggregate, so each task sends one row per station.
+    Picking the newest row is a partial aggregate, so each task sends one row per station. The
+    date bound prunes row groups; over stored tables ``plans.serve`` also opens only the
+    months that can hold it.
     """
     columns = [
         "location_name", "city", "station_lat", "station_lon", "sensor_type", "composite_aqi",

@@ -110,9 +110,11 @@ def rejected_readings(readings: DataFrame) -> DataFrame:
     return split_live_readings(readings).where(~F.col("is_valid")).drop("is_valid")
 
 
+def counts_of_rejected(marked: DataFrame) -> DataFrame:
+    """Rejected readings per parameter, from rows that ``split_live_readings`` has marked."""
+    parameter = rules.parameter_or_unknown(F.col("parameter")).alias("parameter")
+    return marked.where(~F.col("is_valid")).groupBy(parameter).agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def rejection_counts(readings: DataFrame) -> DataFrame:
-    return (
-        rejected_readings(readings)
-        .groupBy(rules.parameter_or_unknown(F.col("parameter")).alias("parameter"))
-        .agg(F.count(F.lit(1)).alias("rejected"))
-    )
+    return counts_of_rejected(split_live_readings(readings))

@@ -1,4 +1,4 @@
-"""Full rebuild: raw zone to marts, in dependency order."""
+"""Raw zone to marts, in dependency order: in full, or from a month on."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from airsift.operators import city, daily, features, forecast, profiles, quality, staging
 from airsift.plans.forecast_job import run_forecasts
-from airsift.plans.writers import MONTH, read_months, write_months, write_table
+from airsift.plans.versions import Draft
 from airsift.sources.files import read_forecasts
 
 Tables = dict[str, DataFrame]
@@ -35,10 +35,12 @@ class Model:
     per_day: bool = False
     # Raw-sized tables are written by the tasks that read them, without a shuffle.
     in_place: bool = False
+    # Mergeable state per month of the inputs, stored as ``<name>_state``; ``derive`` then reads that table.
+    state: Callable[[Tables], DataFrame] | None = None
 
 
-def _model(name, derive, needs, month_of=None, tags=(), stored=True, per_day=False, in_place=False) -> Model:
-    return Model(name, derive, tuple(needs), month_of, frozenset(tags), stored, per_day, in_place)
+def _model(name, derive, needs, month_of=None, tags=(), stored=True, per_day=False, in_place=False, state=None) -> Model:
+    return Model(name, derive, tuple(needs), month_of, frozenset(tags), stored, per_day, in_place, state)
 
 
 # The staged readings are read by three marts, so their typed form is written once as
@@ -74,11 +76,11 @@ MODELS = [
     _model("mart_annual_monthly_trend", lambda t: city.mart_annual_monthly_trend(t["mart_daily_air_quality"]),
            ["mart_daily_air_quality"], tags=[REPORT_ONLY]),
     _model("mart_monthly_profile",
-           lambda t: profiles.mart_monthly_profile(t["stg_measurements"], t["stations"]),
-           ["stg_measurements", "stations"]),
+           lambda t: profiles.monthly_profile_of(t["mart_monthly_profile_state"], t["stations"]),
+           ["stg_measurements", "stations"], state=lambda t: profiles.monthly_state(t["stg_measurements"])),
     _model("mart_diurnal_profile",
-           lambda t: profiles.mart_diurnal_profile(t["stg_measurements"], t["stations"]),
-           ["stg_measurements", "stations"]),
+           lambda t: profiles.diurnal_profile_of(t["mart_diurnal_profile_state"], t["stations"]),
+           ["stg_measurements", "stations"], state=lambda t: profiles.diurnal_state(t["stg_measurements"])),
     _model("mart_pollutant_ratio", lambda t: daily.mart_pollutant_ratio(t["mart_daily_air_quality"]),
            ["mart_daily_air_quality"], tags=[REPORT_ONLY]),
     _model("mart_forecast_accuracy",
@@ -110,6 +112,45 @@ def raw_since(raw: DataFrame, first_day: dt.date) -> DataFrame:
     return raw
 
 
+def build_into(
+    draft: Draft, sources: Tables, exclude_tags: Collection[str] = (), since: dt.date | None = None
+) -> Tables:
+    """Derive and write every selected model as part of ``draft``; nothing is visible to readers before its commit."""
+    tables, recent = dict(sources), dict(sources)
+    first_day = since.replace(day=1) if since else None
+    if first_day is not None:
+        for name in {"measurements_raw", "weather_raw"} & set(sources):
+            recent[name] = raw_since(sources[name], first_day)
+    stored_before = draft.before.tables()
+    for model in selected_models(sources, exclude_tags):
+        # A table that no run has written yet is derived from all months, whatever the caller's bound.
+        state_name = f"{model.name}_state"
+        touched_only = first_day is not None and (
+            model.per_day and (not model.stored or model.name in stored_before) or model.state is not None and state_name in stored_before
+        )
+        given = recent if touched_only else tables
+        month_bound = first_day if touched_only else None
+        if model.state is not None:
+            state = model.state(given)
+            tables[state_name] = draft.write(state_name, state, profiles.STATE_MONTH, month_bound)
+            given = tables
+        derived = model.derive(given)
+        if not model.stored:
+            tables[model.name] = model.derive(tables)
+            recent[model.name] = derived
+            continue
+        if model.month_of is None:
+            tables[model.name] = recent[model.name] = draft.write(model.name, derived)
+            continue
+        if touched_only:
+            derived = derived.where(F.col(model.month_of) >= F.lit(first_day))
+        tables[model.name] = draft.write(model.name, derived, model.month_of, month_bound, model.in_place)
+        recent[model.name] = tables[model.name]
+        if first_day is not None:
+            recent[model.name] = draft.open(model.name, derived.schema, model.month_of, first_day)
+    return tables
+
+
 def build_all(
     spark: SparkSession,
     sources: Tables,
@@ -123,33 +164,17 @@ def build_all(
     for forecast accuracy, ``mart_daily_forecast``. Each model reads its inputs back
     from storage, which cuts the lineage: losing an executor costs at most the work of
     one model. With ``since``, taken back to the first of its month, the per-day models
-    read the archive's folders from then on only and replace whole months, also those
-    that have no rows any more; earlier months stay and all other models are rebuilt
-    from whole tables.
+    and the state of the profiles read the archive's folders from then on only and
+    replace whole months, also those that have no rows any more; earlier months stay and
+    all other models are rebuilt from whole tables. A table that is not stored yet is built
+    in full, so a first run needs no other call.
+
+    The tables of a run appear together, when all are written (see ``versions``): if a run
+    fails between two models, readers of ``versions.read_tables`` keep the run before.
     """
-    tables, recent = dict(sources), dict(sources)
-    first_day = since.replace(day=1) if since else None
-    if first_day is not None:
-        for name in {"measurements_raw", "weather_raw"} & set(sources):
-            recent[name] = raw_since(sources[name], first_day)
-    for model in selected_models(sources, exclude_tags):
-        touched_only = first_day is not None and model.per_day
-        derived = model.derive(recent if touched_only else tables)
-        if not model.stored:
-            tables[model.name] = model.derive(tables)
-            recent[model.name] = derived
-            continue
-        path = f"{target.rstrip('/')}/{model.name}"
-        if touched_only:
-            derived = derived.where(F.col(model.month_of) >= F.lit(first_day))
-        if model.month_of is None:
-            write_table(derived, path)
-            tables[model.name] = recent[model.name] = spark.read.schema(derived.schema).parquet(path)
-            continue
-        write_months(derived, path, model.month_of, first_day if touched_only else None, model.in_place)
-        stored = read_months(spark, derived, path)
-        tables[model.name] = stored.drop(MONTH)
-        recent[model.name] = stored.where(F.col(MONTH) >= F.lit(first_day)).drop(MONTH) if touched_only else stored.drop(MONTH)
+    draft = Draft(spark, target)
+    tables = build_into(draft, sources, exclude_tags, since)
+    draft.commit()
     return tables
 
 
@@ -178,15 +203,15 @@ def daily_run(
 ) -> tuple[Tables, DataFrame]:
     """The whole day's work: build, forecast from its features, score all forecasts so far, check every table.
 
+    The tables, accuracy among them, appear together. Forecast runs have folders of their own, added before.
     ``known_models`` are those that earlier runs under ``target`` may have stored.
     """
-    tables = build_all(spark, sources, target, since=since)
+    draft = Draft(spark, target)
+    tables = build_into(draft, sources, since=since)
     run_forecasts(spark, tables["mart_lagged_features"], target, as_of, fit, model)
     tables["mart_daily_forecast"] = read_forecasts(spark, f"{target.rstrip('/')}/mart_daily_forecast")
     scored = [m for m in MODELS if m.name == "mart_forecast_accuracy"][0]
-    path = f"{target.rstrip('/')}/{scored.name}"
-    rows = scored.derive(tables)
-    write_months(rows, path, scored.month_of)
-    tables[scored.name] = read_months(spark, rows, path).drop(MONTH)
+    tables[scored.name] = draft.write(scored.name, scored.derive(tables), scored.month_of)
+    draft.commit()
     models = sorted({model, *known_models})
     return tables, quality.run_checks(tables, as_of, f"{target.rstrip('/')}/_audit", models)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -59,30 +58,19 @@ def with_month_last(df: DataFrame, day: str | None = None) -> DataFrame:
     return df.withColumn(MONTH, month)
 
 
-def write_months(df: DataFrame, path: str, day: str, since: dt.date | None = None, in_place: bool = False) -> None:
+def write_months(df: DataFrame, path: str, day: str, in_place: bool = False) -> None:
     """Write a table in a folder per month of its date column ``day``, sorted by station and day.
 
-    With ``since``, a first of a month, ``df`` holds all rows from then on: its months
-    replace the stored ones, and stored months from then on that have no rows any more
-    are emptied. Row-group statistics find a day within its month. ``in_place`` leaves
-    rows to the tasks that read them, for raw-sized tables whose source already lies by
-    time; else rows of a month are gathered, and months too big for a task are split.
+    Row-group statistics find a day within its month. ``in_place`` leaves rows to the tasks that read them, for
+    raw-sized tables whose source already lies by time; else rows of a month are gathered, and months too big for a
+    task are split.
     """
-    spark = df.sparkSession
     order = [name for name in ("location_id", day) if name in df.columns]
     rows = with_month_last(df, day)
     placed = rows if in_place else rows.hint("rebalance", MONTH)
-    gone: set[dt.date] = set()
-    if since is not None:
-        stored = read_months(spark, df, path).where(F.col(MONTH) >= F.lit(since)).select(MONTH).distinct()
-        gone = {row[0] for row in stored.collect()}  # a few rows: months
-        gone -= {row[0] for row in rows.select(MONTH).distinct().collect()}
     writer = placed.sortWithinPartitions(MONTH, *order).write.mode("overwrite").option("compression", "snappy")
-    mode = "static" if since is None else "dynamic"
-    with write_sizing(spark, FOLDER_SIZING):
-        writer.partitionBy(MONTH).option("partitionOverwriteMode", mode).parquet(path)
-    for month in sorted(gone):
-        df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/{MONTH}={month.isoformat()}")
+    with write_sizing(df.sparkSession, FOLDER_SIZING):
+        writer.partitionBy(MONTH).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def write_forecasts(df: DataFrame, path: str) -> None:

@@ -1,12 +1,16 @@
 """Live readings: micro-batch read, validation, enrichment, hourly landing files, metrics.
 
-No step keeps state, so a restart replays from the checkpointed source offsets.
+No step keeps state, so a restart replays from the checkpointed source offsets. A batch may therefore be written more
+than once; when it arrived is decided once, before its first write, and kept in a ledger beside the checkpoint.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +22,10 @@ from airsift.plans.writers import FOLDER_SIZING, arrival_folders, write_sizing,
 LANDING_FOLDERS = ["y", "m", "d", "h", "batch"]
 ERROR_FOLDERS = ["y", "m", "d", "batch"]
 LANDING_TRIGGER = "300 seconds"
+# When this batch arrived, as a column of its readings.
+LANDED_AT = "landed_at"
+ARRIVAL = f"{LANDED_AT} timestamp, name string"
+Clock = Callable[[], dt.datetime]
 
 
 def read_live(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -62,25 +70,60 @@ def _write_json(rows: DataFrame, folders: list[str], path: str) -> None:
     writer.partitionBy(*folders).option("compression", "gzip").json(path)
 
 
-def land_batch(target: str, errors: str, metrics: str | None, arrival: Column) -> Callable[[DataFrame, int], None]:
+def now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def batch_arrival(spark: SparkSession, ledger: str, batch_id: int, clock: Clock = now) -> tuple[dt.datetime, str]:
+    """When a batch arrived and the name of its folders: as the ledger has it, else from now on as decided here.
+
+    The entry is complete before any reading is written, so an attempt that failed anywhere after it is repeated with
+    the same hour and name. The name has a random part: batches of another checkpoint, which count from 0 again, never
+    meet these folders.
+    """
+    path = f"{ledger.rstrip('/')}/batch={batch_id}"
+    try:
+        known = spark.read.schema(ARRIVAL).json(path).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = []
+    if not known:
+        entry = [(clock(), f"{batch_id}-{uuid.uuid4().hex[:12]}")]
+        spark.createDataFrame(entry, ARRIVAL).coalesce(1).write.mode("overwrite").json(path)
+        known = spark.read.schema(ARRIVAL).json(path).collect()
+    return known[0][LANDED_AT], known[0]["name"]
+
+
+def land_batch(
+    target: str, errors: str, metrics: str | None, arrival: Column | None = None, ledger: str | None = None, clock: Clock = now
+) -> Callable[[DataFrame, int], None]:
     """Write one micro-batch: valid rows by arrival hour, rejected rows apart, counts as metrics.
 
-    Folders are hours, then batches: a reader of one hour lists that hour only, and
-    replaying a batch after a failure overwrites its own folders instead of adding rows twice.
+    Folders are hours, then batches: a reader of one hour lists that hour only. ``ledger`` (by default
+    ``<target>/_arrivals``) belongs to one checkpoint and fixes each batch's arrival, so that replaying a batch, an hour
+    later too, overwrites its own folders instead of adding rows twice. ``arrival`` may take the time from the readings
+    and from ``landed_at``, the batch's arrival, but must not read the clock. The batch is evaluated once.
     """
+    entries = ledger or f"{target.rstrip('/')}/_arrivals"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = staging.split_live_readings(batch).persist()
-        folders = [*arrival_folders(arrival), F.lit(batch_id).alias("batch")]
-        valid = marked.where("is_valid").drop("is_valid", "reason").select("*", *folders)
-        rejected = marked.where(~F.col("is_valid")).drop("is_valid").select("*", *folders[:3], folders[-1])
+        spark = batch.sparkSession
+        landed_at, name = batch_arrival(spark, entries, batch_id, clock)
+        marked = staging.split_live_readings(batch).withColumn(LANDED_AT, F.lit(landed_at)).persist()
+        moment = F.col(LANDED_AT) if arrival is None else arrival
+        folders = [*arrival_folders(moment), F.lit(name).alias("batch")]
+        dropped = {"is_valid", LANDED_AT}
+        rows = marked.select("*", *folders)
+        valid = rows.where("is_valid").drop("reason", *dropped)
+        rejected = rows.where(~F.col("is_valid")).drop("h", *dropped)
         try:
-            with write_sizing(batch.sparkSession, FOLDER_SIZING):
+            with write_sizing(spark, FOLDER_SIZING):
                 _write_json(valid, LANDING_FOLDERS, target)
                 _write_json(rejected, ERROR_FOLDERS, errors)
             if metrics is not None:
-                counts = staging.rejection_counts(batch).withColumn("ts", F.current_timestamp())
-                write_table(counts, f"{metrics}/batch={batch_id}")
+                counts = staging.counts_of_rejected(marked).withColumn("ts", F.lit(landed_at))
+                write_table(counts, f"{metrics}/batch={name}")
         finally:
             marked.unpersist()
 
@@ -95,13 +138,9 @@ def land_live(
     metrics: str | None = None,
     arrival: Column | None = None,
     once: bool = False,
+    clock: Clock = now,
 ) -> StreamingQuery:
-    """Start the landing query; ``once`` drains what is there and stops."""
-    moment = F.current_timestamp() if arrival is None else arrival
+    """Start the landing query; ``once`` drains what is there and stops. The ledger lies in the checkpoint's folder."""
     trigger = {"availableNow": True} if once else {"processingTime": LANDING_TRIGGER}
-    return (
-        readings.writeStream.foreachBatch(land_batch(target, errors, metrics, moment))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    write = land_batch(target, errors, metrics, arrival, f"{checkpoint.rstrip('/')}/arrivals", clock)
+    return readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
