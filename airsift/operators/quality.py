@@ -86,11 +86,15 @@ class RowCheck:
 
 @dataclass(frozen=True)
 class TableCheck:
-    """A query over the tables that returns the failing rows."""
+    """A query over the tables that returns the failing rows.
+
+    ``day`` names their day column if a month's failing rows depend on that month's rows only.
+    """
 
     name: str
     tables: tuple[str, ...]
     failing: Callable[[Tables], DataFrame]
+    day: str | None = None
 
 
 def _not_null(table: str, *columns: str) -> list[RowCheck]:
@@ -160,9 +164,13 @@ def row_checks(models: Sequence[str] = ()) -> list[RowCheck]:
     return checks
 
 
+def _day_in(keys: Sequence[str]) -> str | None:
+    return "measurement_date" if "measurement_date" in keys else None
+
+
 def table_checks(as_of: dt.date) -> list[TableCheck]:
     checks = [
-        TableCheck(f"unique_{table}", (table,), lambda t, table=table, keys=keys: duplicates(t[table], keys))
+        TableCheck(f"unique_{table}", (table,), lambda t, table=table, keys=keys: duplicates(t[table], keys), _day_in(keys))
         for table, keys in GRAINS.items()
     ]
     checks += [
@@ -184,6 +192,7 @@ def table_checks(as_of: dt.date) -> list[TableCheck]:
             "composite_is_source_max",
             ("mart_daily_aqi", "mart_daily_air_quality"),
             lambda t: composite_is_not_maximum(t["mart_daily_aqi"], t["mart_daily_air_quality"]),
+            "measurement_date",
         ),
     ]
     return checks
@@ -219,24 +228,13 @@ def run_checks(
     audit_path: str | None = None,
     models: Sequence[str] = (),
 ) -> DataFrame:
-    """Summary of all checks; with ``audit_path`` failing rows are stored, one folder per check.
+    """Summary of all checks; with ``audit_path`` failing rows are stored, one table per check that has some.
 
     The build is never stopped. Only the summary, one row per check, reaches the driver.
     """
-    rows, queries = row_checks(models), table_checks(as_of)
-    summary = check_counts(tables, rows, queries)
     if audit_path is None:
-        return summary
-    spark = summary.sparkSession
-    target = f"{audit_path.rstrip('/')}/_summary"
-    summary.write.mode("overwrite").parquet(target)
-    stored = spark.read.parquet(target)
-    failed = {row.check_name for row in stored.where("failing_rows > 0").collect()}
-    for check in rows:
-        if check.name in failed and check.table in tables:
-            failing = tables[check.table].where(check.failing)
-            failing.write.mode("overwrite").parquet(f"{audit_path.rstrip('/')}/{check.name}")
-    for query in queries:
-        if query.name in failed:
-            query.failing(tables).write.mode("overwrite").parquet(f"{audit_path.rstrip('/')}/{query.name}")
-    return stored
+        return check_counts(tables, row_checks(models), table_checks(as_of))
+    from airsift.plans.audit import audited_checks  # the sinks are built on the operators
+
+    spark = next(iter(tables.values())).sparkSession
+    return audited_checks(spark, tables, as_of, audit_path, models)

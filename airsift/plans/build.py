@@ -9,7 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airsift.operators import city, daily, features, forecast, profiles, quality, staging
+from airsift.operators import city, daily, features, forecast, profiles, staging
+from airsift.plans.audit import audited_checks
 from airsift.plans.forecast_job import run_forecasts
 from airsift.plans.versions import Draft
 from airsift.sources.files import read_forecasts
@@ -114,14 +115,18 @@ def raw_since(raw: DataFrame, first_day: dt.date) -> DataFrame:
 
 def build_into(
     draft: Draft, sources: Tables, exclude_tags: Collection[str] = (), since: dt.date | None = None
-) -> Tables:
-    """Derive and write every selected model as part of ``draft``; nothing is visible to readers before its commit."""
+) -> tuple[Tables, Tables]:
+    """Derive and write every selected model as part of ``draft``; nothing is visible to readers before its commit.
+
+    Returns all tables, and of those whose earlier months stayed as they were, the months that did not.
+    """
     tables, recent = dict(sources), dict(sources)
     first_day = since.replace(day=1) if since else None
     if first_day is not None:
         for name in {"measurements_raw", "weather_raw"} & set(sources):
             recent[name] = raw_since(sources[name], first_day)
     stored_before = draft.before.tables()
+    bounded: set[str] = set()
     for model in selected_models(sources, exclude_tags):
         # A table that no run has written yet is derived from all months, whatever the caller's bound.
         state_name = f"{model.name}_state"
@@ -130,6 +135,8 @@ def build_into(
         )
         given = recent if touched_only else tables
         month_bound = first_day if touched_only else None
+        if touched_only and model.per_day:
+            bounded.add(model.name)
         if model.state is not None:
             state = model.state(given)
             tables[state_name] = draft.write(state_name, state, profiles.STATE_MONTH, month_bound)
@@ -148,7 +155,7 @@ def build_into(
         recent[model.name] = tables[model.name]
         if first_day is not None:
             recent[model.name] = draft.open(model.name, derived.schema, model.month_of, first_day)
-    return tables
+    return tables, {name: recent[name] for name in bounded}
 
 
 def build_all(
@@ -172,10 +179,20 @@ def build_all(
     The tables of a run appear together, when all are written (see ``versions``): if a run
     fails between two models, readers of ``versions.read_tables`` keep the run before.
     """
+    return _built(spark, sources, target, exclude_tags, since)[0]
+
+
+def _built(spark: SparkSession, sources: Tables, target: str, exclude_tags: Collection[str], since: dt.date | None) -> tuple[Tables, Tables]:
     draft = Draft(spark, target)
-    tables = build_into(draft, sources, exclude_tags, since)
+    tables, recent = build_into(draft, sources, exclude_tags, since)
     draft.commit()
-    return tables
+    return tables, recent
+
+
+def _checked(spark: SparkSession, tables: Tables, recent: Tables, target: str, as_of: dt.date, since: dt.date | None, models: Collection[str] = ()) -> DataFrame:
+    days = {model.name: model.month_of for model in MODELS if model.per_day}
+    first_day = since.replace(day=1) if since else None
+    return audited_checks(spark, tables, as_of, f"{target.rstrip('/')}/_audit", sorted(models), days, recent, first_day)
 
 
 def build_and_check(
@@ -187,8 +204,8 @@ def build_and_check(
     since: dt.date | None = None,
 ) -> tuple[Tables, DataFrame]:
     """Build, then check; failing rows are stored beside the marts and never stop the build."""
-    tables = build_all(spark, sources, target, exclude_tags, since)
-    return tables, quality.run_checks(tables, as_of, f"{target.rstrip('/')}/_audit")
+    tables, recent = _built(spark, sources, target, exclude_tags, since)
+    return tables, _checked(spark, tables, recent, target, as_of, since)
 
 
 def daily_run(
@@ -207,11 +224,10 @@ def daily_run(
     ``known_models`` are those that earlier runs under ``target`` may have stored.
     """
     draft = Draft(spark, target)
-    tables = build_into(draft, sources, since=since)
+    tables, recent = build_into(draft, sources, since=since)
     run_forecasts(spark, tables["mart_lagged_features"], target, as_of, fit, model)
     tables["mart_daily_forecast"] = read_forecasts(spark, f"{target.rstrip('/')}/mart_daily_forecast")
     scored = [m for m in MODELS if m.name == "mart_forecast_accuracy"][0]
     tables[scored.name] = draft.write(scored.name, scored.derive(tables), scored.month_of)
     draft.commit()
-    models = sorted({model, *known_models})
-    return tables, quality.run_checks(tables, as_of, f"{target.rstrip('/')}/_audit", models)
+    return tables, _checked(spark, tables, recent, target, as_of, since, {model, *known_models})

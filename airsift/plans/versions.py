@@ -136,10 +136,7 @@ class Draft:
         else:
             write_months(df, self._path(table), day, in_place=in_place)
         written = self._written(table)
-        kept = {
-            key: value for key, value in self.now.entries.items()
-            if key[0] != table or day is not None and since is not None and key[1] and (key[1] < month_folder(since) or key[1] == UNDATED) and key not in written
-        }
+        kept = {key: value for key, value in self._beside(table, since if day else None).items() if key not in written}
         if not written and not any(name == table for name, _ in kept):
             write_table(df.limit(0).coalesce(1), self._path(table))  # an empty table still has its columns
             written = self._written(table)
@@ -147,6 +144,20 @@ class Draft:
         self.now.entries.update(kept | written)
         return self.open(table, df.schema)
 
+    def _beside(self, table: str, since: dt.date | None) -> Entries:
+        """Entries that stay when the table is replaced, or with ``since`` its months from then on."""
+
+        def stays(name: str, folder: str) -> bool:
+            return name != table or since is not None and folder != "" and (folder == UNDATED or folder < month_folder(since))
+
+        return {key: value for key, value in self.now.entries.items() if stays(*key)}
+
+    def drop(self, table: str, since: dt.date | None = None) -> None:
+        """The table, or with ``since`` its months from then on, is gone from this run on; nothing is written."""
+        kept = self._beside(table, since)
+        self.now.entries.clear()
+        self.now.entries.update(kept)
+
     def open(self, table: str, schema: StructType, day: str | None = None, first: dt.date | None = None) -> DataFrame:
         return self.now.open(self.spark, table, schema, day, first)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.operators import profiles
+from airsift.plans import audit as audit_plan
 from airsift.plans import build, serve, versions
 from airsift.session import shared_folder
 from airsift.sources import files
@@ -55,7 +56,7 @@ register(
 
 # Increments --------------------------------------------------------------------------
 
-INCREMENT, BROKEN_FROM = dt.date(2001, 9, 1), dt.date(2001, 7, 10)
+INCREMENT, BROKEN_FROM, OLD_MONTH = dt.date(2001, 9, 1), dt.date(2001, 7, 10), dt.date(1997, 3, 1)
 
 
 def _sources(i: Inputs) -> dict[str, DataFrame]:
@@ -110,6 +111,45 @@ register(
     DIGEST_SQL,
 )
 
+# Checks by month ---------------------------------------------------------------------
+
+
+def _repaired(i: Inputs) -> DataFrame:
+    """Daily AQI with wrong labels in the last months and in one old month: checked, partly repaired, wholly repaired.
+
+    The second run is handed the last months only. A row per run and check: failing rows by the summary and as stored.
+    """
+    audit = shared_folder(i.spark, "audit")
+    late, old = F.col("measurement_date") >= F.lit(INCREMENT), F.trunc("measurement_date", "MM") == F.lit(OLD_MONTH)
+    wrong = F.when(late | old, F.lit("dust")).otherwise(F.col("dominant_pollutant"))
+    half = F.when(old, F.lit("dust")).otherwise(F.col("dominant_pollutant"))
+    runs = [(wrong, None), (half, INCREMENT), (F.col("dominant_pollutant"), None)]
+    table, out = "mart_daily_aqi", None
+    for number, (label, since) in enumerate(runs, start=1):
+        tables = {table: i.daily_aqi.withColumn("dominant_pollutant", label)}
+        recent = {table: tables[table].where(late)} if since else None
+        whole = {table: i.daily_aqi.limit(0)} if since else tables  # earlier months must not be needed
+        summary = audit_plan.audited_checks(i.spark, whole, AS_OF, audit, days={table: "measurement_date"}, recent=recent, since=since)
+        kept = audit_plan.failing_rows(i.spark, audit).get("accepted_dominant_pollutant")
+        stored = kept.count() if kept is not None else 0
+        row = summary.where("check_name = 'accepted_dominant_pollutant'").select(
+            F.lit(number).alias("run"), "failing_rows", F.lit(stored).cast("bigint").alias("stored_rows")
+        )
+        # A summary is of its run's version, whose files the next run drops.
+        row = i.spark.createDataFrame(row.collect(), row.schema)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+register(
+    "checks_by_month_dq16_snk07",
+    _repaired,
+    f"""with wrong as (select count(*) filter (measurement_date >= date '{INCREMENT}') as late,
+                          count(*) filter (date_trunc('month', measurement_date) = date '{OLD_MONTH}') as old from daily_aqi)
+        select 1 as run, late + old as failing_rows, late + old as stored_rows from wrong
+        union all select 2, old, old from wrong union all select 3, 0, 0""",
+)
+
 # Profiles from state -----------------------------------------------------------------
 
 
