@@ -7,6 +7,8 @@ the station has.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +67,32 @@ def flag_holidays(rows: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
+def lagged_features_since(aq_weather: DataFrame, stored: DataFrame, holidays: DataFrame, first_day: dt.date) -> DataFrame:
+    """The rows of ``mart_lagged_features`` that change when ``aq_weather`` does from ``first_day`` on; whole months.
+
+    ``stored`` is the table before. Carried in are each station's last rows before ``first_day``, as many as the longest
+    lag counts, found by a top-n that tasks apply before the shuffle. The row before the seam has a new next day: the
+    stored months that hold such rows, one a station, are returned too, with ``pm25_next1`` replaced. Between the seams and
+    ``first_day`` there may be months without rows. Rows before ``first_day`` keep the holidays they were built with.
+    """
+    first = F.lit(first_day)
+    usable = aq_weather.where(F.col("avg_pm25").isNotNull())
+    latest_first = Window.partitionBy("location_id").orderBy(F.desc("measurement_date"))
+    earlier = usable.where(F.col("measurement_date") < first)
+    carried = earlier.withColumn("_back", F.row_number().over(latest_first)).where(F.col("_back") <= max(*LAGS, *TRAILING_MEANS))
+    rows = carried.drop("_back").unionByName(usable.where(F.col("measurement_date") >= first))
+    fresh = mart_lagged_features(rows, holidays).where(F.col("measurement_date") >= first)
+
+    seams = carried.where("_back = 1").select("location_id", F.col("measurement_date").alias("seam_date"))
+    next_days = usable.where(F.col("measurement_date") >= first).groupBy("location_id").agg(F.min_by("avg_pm25", "measurement_date").alias("next_value"))
+    replaced = seams.join(next_days, "location_id", "left").select("location_id", "seam_date", F.round("next_value", 4).alias("next_value"))
+    months = seams.select(F.trunc("seam_date", "MM").alias("seam_month")).distinct()
+    before = stored.where(F.col("measurement_date") < first).withColumn("seam_month", F.trunc("measurement_date", "MM")).join(months, "seam_month", "left_semi").drop("seam_month")
+    at_seam = F.col("measurement_date") == F.col("seam_date")
+    corrected = before.join(replaced, "location_id", "left").withColumn("pm25_next1", F.when(at_seam, F.col("next_value")).otherwise(F.col("pm25_next1")))
+    return fresh.unionByName(corrected.select(*fresh.columns))
+
+
 # Output suffix -> feature column, against the current day and against the next day.
 CORRELATED_WITH_TODAY = {
     "lag1": "pm25_lag1", "lag7": "pm25_lag7", "lag30": "pm25_lag30",

@@ -38,10 +38,12 @@ class Model:
     in_place: bool = False
     # Mergeable state per month of the inputs, stored as ``<name>_state``; ``derive`` then reads that table.
     state: Callable[[Tables], DataFrame] | None = None
+    # From all tables, the stored form and a first day: the months that change when inputs do from that day on.
+    increment: Callable[[Tables, DataFrame, dt.date], DataFrame] | None = None
 
 
-def _model(name, derive, needs, month_of=None, tags=(), stored=True, per_day=False, in_place=False, state=None) -> Model:
-    return Model(name, derive, tuple(needs), month_of, frozenset(tags), stored, per_day, in_place, state)
+def _model(name, derive, needs, month_of=None, tags=(), stored=True, per_day=False, in_place=False, state=None, increment=None) -> Model:
+    return Model(name, derive, tuple(needs), month_of, frozenset(tags), stored, per_day, in_place, state, increment)
 
 
 # The staged readings are read by three marts, so their typed form is written once as
@@ -67,7 +69,8 @@ MODELS = [
            ["mart_daily_air_quality", "mart_daily_weather"], DAY, per_day=True),
     _model("mart_lagged_features",
            lambda t: features.mart_lagged_features(t["mart_aq_weather_daily"], t["holidays"]),
-           ["mart_aq_weather_daily", "holidays"], DAY),
+           ["mart_aq_weather_daily", "holidays"], DAY,
+           increment=lambda t, stored, first: features.lagged_features_since(t["mart_aq_weather_daily"], stored, t["holidays"], first)),
     _model("mart_feature_stats", lambda t: features.mart_feature_stats(t["mart_lagged_features"]),
            ["mart_lagged_features"], tags=[REPORT_ONLY]),
     _model("mart_health_summary", lambda t: city.mart_health_summary(t["mart_daily_air_quality"]),
@@ -146,6 +149,10 @@ def build_into(
             tables[model.name] = model.derive(tables)
             recent[model.name] = derived
             continue
+        if first_day is not None and model.increment is not None and model.name in stored_before:
+            changed = model.increment(tables, draft.open(model.name, derived.schema), first_day)
+            tables[model.name] = recent[model.name] = draft.write(model.name, changed.select(*derived.columns), model.month_of, first_day)
+            continue
         if model.month_of is None:
             tables[model.name] = recent[model.name] = draft.write(model.name, derived)
             continue
@@ -172,8 +179,9 @@ def build_all(
     from storage, which cuts the lineage: losing an executor costs at most the work of
     one model. With ``since``, taken back to the first of its month, the per-day models
     and the state of the profiles read the archive's folders from then on only and
-    replace whole months, also those that have no rows any more; earlier months stay and
-    all other models are rebuilt from whole tables. A table that is not stored yet is built
+    replace whole months, also those that have no rows any more; the lagged features carry
+    in the rows their windows need; earlier months stay and all other models are rebuilt
+    from whole tables. A table that is not stored yet is built
     in full, so a first run needs no other call.
 
     The tables of a run appear together, when all are written (see ``versions``): if a run

@@ -21,6 +21,23 @@ def read_measurements(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("quote", '"').csv(path)
 
 
+# Stations a reader names to the scan one by one; a longer list is joined.
+LISTED_STATIONS = 10_000
+
+
+def of_stations(rows: DataFrame, stations: DataFrame) -> DataFrame:
+    """Archive rows in the folders of the listed stations; other folders are not opened.
+
+    The ids are read on the driver, up to ``LISTED_STATIONS`` of them, and filter the folder column, so they prune at
+    planning. More stations than that are joined on the folder column instead.
+    """
+    ids = stations.select(F.col("location_id").cast("string").alias("locationid")).where("locationid is not null").distinct()
+    listed = ids.limit(LISTED_STATIONS + 1).collect()
+    if len(listed) > LISTED_STATIONS:
+        return rows.join(ids, "locationid", "left_semi")
+    return rows.where(F.col("locationid").isin([row[0] for row in listed]))
+
+
 def backfill(
     spark: SparkSession, path: str, years: Iterable[int] = (), stations: Iterable[int] = ()
 ) -> DataFrame:

@@ -1,12 +1,29 @@
-"""What to ingest next: new or changed files, month windows, day ranges."""
+"""What to ingest next: listed files, new or changed ones, month windows, day ranges."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airsift.sources.listing import list_files
+
+
+def archive_listing(spark: SparkSession, archive: str, name_pattern: str = "*.csv.gz") -> DataFrame:
+    """The archive's files with ``etag`` (length and time of change), ``station_id`` and ``month_start`` of their folders.
+
+    Read from file metadata; no content is opened.
+    """
+    part = {name: F.regexp_extract("path", rf"/{name}=([^/]*)/", 1) for name in ("locationid", "year", "month")}
+    month = F.concat_ws("-", part["year"], F.lpad(part["month"], 2, "0"), F.lit("01")).try_cast("date")
+    return list_files(spark, archive, name_pattern).select(
+        "path",
+        F.concat_ws("-", "length", F.unix_millis("modified")).alias("etag"),
+        part["locationid"].try_cast("int").alias("station_id"),
+        month.alias("month_start"),
+    )
+
 
 def new_or_changed(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listed files ``(path, etag)`` whose path and etag are not yet in the ledger."""

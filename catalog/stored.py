@@ -1,4 +1,4 @@
-"""Registered queries over stored tables: replayed batches, increments, state, pruned reads, compaction."""
+"""Registered queries over stored tables: replayed batches, increments, state, pruned reads, compaction, ingest."""
 
 from __future__ import annotations
 
@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airsift.operators import profiles
+from airsift.operators import features, profiles, staging
 from airsift.plans import audit as audit_plan
-from airsift.plans import build, serve, versions
+from airsift.plans import build, ingest, serve, versions
 from airsift.session import shared_folder
-from airsift.sources import files
+from airsift.sources import files, incremental
 from airsift.streaming import live
 from catalog.inputs import AS_OF, Inputs
 from catalog.registry import register
@@ -111,6 +111,22 @@ register(
     DIGEST_SQL,
 )
 
+def _lagged_increment(i: Inputs) -> DataFrame:
+    """Features of an archive that was wrong from one day on, then the increment from that day."""
+    target = shared_folder(i.spark, "lagged")
+    late = F.col("measurement_date") >= F.lit(INCREMENT)
+    wrong = i.aq_weather.where(~late | (F.col("location_id") % 3 != 0)).withColumn("avg_pm25", F.when(late, F.col("avg_pm25") + 100).otherwise(F.col("avg_pm25")))
+    before = versions.Draft(i.spark, target)
+    stored = before.write("lagged", features.mart_lagged_features(wrong, i.holidays), "measurement_date")
+    before.commit()
+    later = versions.Draft(i.spark, target)
+    later.write("lagged", features.lagged_features_since(i.aq_weather, stored, i.holidays, INCREMENT), "measurement_date", INCREMENT)
+    later.commit()
+    return versions.read_tables(i.spark, target)["lagged"]
+
+
+register("lagged_increment_m09_win01_win02_win03", _lagged_increment, "select * from features")
+
 # Checks by month ---------------------------------------------------------------------
 
 
@@ -257,3 +273,85 @@ register(
     """select strftime(date_trunc('month', measurement_date), '%Y-%m-%d') as month, count(*) as n_rows, cast(1 as bigint) as files_after,
               true as were_more from stg group by 1""",
 )
+
+# Ingest of files ---------------------------------------------------------------------
+
+
+def _half_year_archive(i: Inputs, rows: DataFrame, path: str) -> None:
+    """Gzip text, one file per station and half-year; the month folder is its first month."""
+    half = F.when(F.col("month") <= "06", F.lit("01")).otherwise(F.lit("07"))
+    folders = ["locationid", "year", "month"]
+    placed = rows.withColumn("month", half).repartition(8, *folders).sortWithinPartitions(*folders)
+    options = {"header": True, "compression": "gzip", "quoteAll": True, "partitionOverwriteMode": "dynamic"}
+    placed.write.mode("overwrite").partitionBy(*folders).options(**options).csv(path)
+
+
+def _write_bytes(i: Inputs, path: str, content: bytes) -> None:
+    hadoop = i.spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop.getFileSystem(i.spark._jsc.hadoopConfiguration()).create(hadoop, True)
+    out.write(bytearray(content))
+    out.close()
+
+
+CHANGED, BROKEN = (3, "1997", "01"), (5, "1998", "07")
+
+
+def _folder(station: int, year: str, month: str) -> str:
+    return f"locationid = '{station}' and year = '{year}' and if(month <= '06', '01', '07') = '{month}'"
+
+
+def _ingest_runs(i: Inputs) -> DataFrame:
+    """Two runs over one archive. In between one file is rewritten with half of its rows, and one with no gzip.
+
+    A row per station: what the second run did, and the rows landed after it.
+    """
+    root = shared_folder(i.spark, "ingest")
+    archive, target = f"{root}/archive", f"{root}/landed"
+    _half_year_archive(i, i.measurements_raw, archive)
+    ingest.ingest(i.spark, archive, target)
+    listed = {(r.station_id, str(r.month_start)): r.path for r in incremental.archive_listing(i.spark, archive).collect()}
+    changed = i.measurements_raw.where(_folder(*CHANGED)).where("cast(sensors_id as int) % 2 = 0").drop("locationid", "year", "month")
+    # A rewritten file keeps its name.
+    spare = f"{root}/spare"
+    changed.coalesce(1).write.options(header=True, compression="gzip", quoteAll=True).csv(spare)
+    content = i.spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(spare).select("content").first()[0]
+    _write_bytes(i, listed[CHANGED[0], f"{CHANGED[1]}-{CHANGED[2]}-01"], bytes(content))
+    _write_bytes(i, listed[BROKEN[0], f"{BROKEN[1]}-{BROKEN[2]}-01"], b"no gzip at all, only text")
+    second = ingest.ingest(i.spark, archive, target)
+    landed = ingest.read_landed(i.spark, target).groupBy(F.col("locationid").cast("int").alias("station_id")).agg(F.count("*").alias("landed_rows"))
+    known = ingest.read_ledger(i.spark, target).groupBy(F.regexp_extract("path", r"/locationid=([^/]*)/", 1).cast("int").alias("station_id")).agg(F.count("*").alias("known_files"))
+    told = second.select("station_id", "copied", "skipped", "failed", F.col("error").startswith("unreadable").alias("unreadable"))
+    return told.join(landed, "station_id").join(known, "station_id")
+
+
+_HALF = "case when month <= '06' then '01' else '07' end"
+register(
+    "ingest_runs_src10",
+    _ingest_runs,
+    f"""with files as (select folder_station as station_id, year, {_HALF} as half, count(*) as n_rows,
+                          count(*) filter (sensor_id % 2 = 0) as even from raw group by 1, 2, 3),
+        marked as (select *, station_id = {CHANGED[0]} and year = '{CHANGED[1]}' and half = '{CHANGED[2]}' as changed,
+                          station_id = {BROKEN[0]} and year = '{BROKEN[1]}' and half = '{BROKEN[2]}' as broken from files)
+        select station_id, count(*) filter (changed) as copied, count(*) filter (not changed and not broken) as skipped,
+               count(*) filter (broken) as failed, case when bool_or(broken) then true end as unreadable,
+               cast(sum(case when changed then even else n_rows end) as bigint) as landed_rows, count(*) as known_files
+        from marked group by 1""",
+)
+
+
+def _allowlisted(i: Inputs) -> DataFrame:
+    """Readings of listed stations from an archive in which a file of every other station cannot be read."""
+    archive = f"{shared_folder(i.spark, 'archive')}/raw"
+    _half_year_archive(i, i.measurements_raw, archive)
+    unlisted = incremental.archive_listing(i.spark, archive).join(i.stations, F.col("station_id") == F.col("location_id"), "left_anti")
+    for row in unlisted.groupBy("station_id").agg(F.min("path").alias("path")).collect():
+        _write_bytes(i, row.path, b"no gzip at all, only text")
+    rows = files.of_stations(files.read_measurements(i.spark, archive), i.stations)
+    return staging.enrich_measurements(staging.stage_measurements(rows), i.stations).groupBy("location_id", "location_name", "parameter").agg(F.count("*").alias("n_rows"))
+
+
+register(
+    "allowlisted_archive_jn01_prj10",
+    _allowlisted,
+    "select location_id, location_name, parameter, count(*) as n_rows from enriched group by 1, 2, 3",
+)
