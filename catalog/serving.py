@@ -51,13 +51,13 @@ def _map_features(i: Inputs):
 register(
     "geojson_srv02_prj12",
     _map_features,
-    f"""select (select max(measurement_date) from latest) as updated_at, station_lon as lon, station_lat as lat, location_id,
+    f"""select max(measurement_date) over () as updated_at, station_lon as lon, station_lat as lat, location_id,
                location_name, city, composite_aqi, health_category, dominant_pollutant, sensor_type,
                round(pm25_avg, 1) as pm25_avg, round(cigarette_equivalent, 1) as cigarette_equivalent, measurement_date,
                case health_category when 'Good' then '#00e400' when 'Moderate' then '#ffff00'
                     when 'Unhealthy for Sensitive Groups' then '#ff7e00' when 'Unhealthy' then '#ff0000'
                     when 'Very Unhealthy' then '#8f3f97' else '#7e0023' end as colour
-        from ({LATEST_SQL.format(days=60)}) latest""".replace("(select max(measurement_date) from latest)", "max(measurement_date) over ()"),
+        from ({LATEST_SQL.format(days=60)}) latest""",
 )
 register(
     "analytics_health_srv03",
@@ -68,11 +68,10 @@ register(
 
 
 def _profile_sql(source: str, *keys: str) -> str:
-    """Mean over trusted stations as sum and count, over a pre-filtered list of values."""
+    """Mean over trusted stations."""
     names = ", ".join(keys)
-    return f"""select {names}, round(list_sum(v) / len(v), 1) as avg_pm25
-               from (select {names}, list(avg_value order by location_id) filter (parameter = 'pm25' and is_outlier_station = 0) as v
-                     from {source} group by all) where len(v) > 0"""
+    return f"""select {names}, round(avg(avg_value), 1) as avg_pm25
+               from {source} where parameter = 'pm25' and is_outlier_station = 0 and avg_value is not null group by all"""
 
 
 MONTHLY_SQL = _profile_sql("monthly", "city", "month_of_year")
