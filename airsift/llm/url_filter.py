@@ -9,8 +9,8 @@ first. Then level by level, from the root:
 
 Pages below a node with fewer than ``DIFFERENT`` labels, with good or bad ones alone, or with one path, cannot differ at
 any later segment (a squared z is at most the number of labels): they take a ``*`` for each segment left, and no further
-level is read for them. Without any label they all have the purity of the prior, and the segments after ``DEPTH`` are
-written as a single ``*``. The SQL stops at ``DEPTH`` for labelled pages too, so it compares paths up to there only.
+level is read for them. Segments that all pages of a node have in common cannot differ either: a chain of them is taken
+in one step, so the levels read are those where a path branches.
 
 A template is rejected if its purity, the share of good pages among its labelled ones, smoothed towards the share among
 all, is below ``PURITY``. All of this runs on counts by host and digit-free path, which Spark sums before any shuffle;
@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 
 from airsift.llm.store import stored
 
-# Segments of unlabelled pages that get a step each.
-DEPTH = 4
 # Levels whose ended branches are kept as tables of their own.
 LEVELS_APART = 16
 # A position is variable from so many values on, if they have fewer than so many pages each on average.
@@ -81,7 +79,7 @@ def _template_table(pages: DataFrame) -> DataFrame:
     done: list[DataFrame] = []
     level = 0
     while True:
-        tree = tree.withColumn("part", F.get("parts", F.lit(level)))
+        tree = _after_common(tree).withColumn("part", F.get("parts", F.lit(0)))
         node = ["host", "template", "part"]
         sums = [F.sum(c).alias(c) for c in ("n", "labelled", "n_good")]
         branches = tree.groupBy(*node).agg(F.count("*").alias("shapes"), *sums)
@@ -98,16 +96,14 @@ def _template_table(pages: DataFrame) -> DataFrame:
         step = F.when(F.col("part").isNull(), "").when(differs & ~variable, F.concat(F.lit("/~"), tenth)).otherwise("/*")
         separable = (F.col("all_shapes") > 1) & (F.col("all_labelled") >= DIFFERENT) & (F.col("all_n_good") > 0) & (bad_all > 0)
         decided = branches.join(whole, ["host", "template"]).select(
-            *node, step.alias("step"), (F.col("part").isNotNull() & separable).alias("open"), (F.col("part").isNotNull() & (F.col("all_labelled") == 0)).alias("blank")
+            *node, step.alias("step"), (F.col("part").isNotNull() & separable).alias("open")
         )
-        renamed = decided.toDF("_host", "_template", "_part", "step", "open", "blank")
+        renamed = decided.toDF("_host", "_template", "_part", "step", "open")
         same = (tree["host"] == renamed["_host"]) & (tree["template"] == renamed["_template"]) & tree["part"].eqNullSafe(renamed["_part"])
-        left = F.size("parts") - level
-        steps = F.when(F.col("open") | F.col("part").isNull(), F.col("step")).otherwise(F.expr("repeat('/*', steps_left)"))
+        steps = F.when(F.col("open") | F.col("part").isNull(), F.col("step")).otherwise(F.expr("repeat('/*', size(parts))"))
         deeper = (
             tree.join(renamed, same)
-            .withColumn("steps_left", F.when(F.col("blank"), F.least(left, F.lit(max(DEPTH - level, 0) + 1))).otherwise(left))
-            .withColumn("template", F.concat("template", steps))
+            .withColumns({"template": F.concat("template", steps), "parts": F.expr("slice(parts, 2, greatest(size(parts) - 1, 0))")})
             .select(*columns, "parts", "open")
         )
         # Each level reads the one above several times: stored, or the plan would grow by a power of the depth.
@@ -122,6 +118,16 @@ def _template_table(pages: DataFrame) -> DataFrame:
     return stored(_union(done), "tree")
 
 
+def _after_common(tree: DataFrame) -> DataFrame:
+    """``tree`` after the segments that all paths of a node begin with: those of its least and its greatest path in order."""
+    ends = tree.groupBy("host", "template").agg(F.min("parts").alias("lo"), F.max("parts").alias("hi"))
+    equal = F.expr("if(size(lo) = 0, 0, aggregate(sequence(1, size(lo)), 0, (k, i) -> if(k = i - 1 and lo[i - 1] = get(hi, i - 1), i, k)))")
+    node = ends.select(F.col("host").alias("_host"), F.col("template").alias("_template"), equal.alias("common"))
+    joined = tree.join(node, (tree["host"] == node["_host"]) & (tree["template"] == node["_template"]))
+    rest = F.expr("slice(parts, common + 1, size(parts) - common)")
+    return joined.withColumns({"template": F.expr("concat(template, repeat('/*', common))"), "parts": rest}).drop("_host", "_template", "common")
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, tables)
 
@@ -160,51 +166,42 @@ def label_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in SQL, a table for each level of the tree."""
+    """The same in SQL, recursively a level of the tree at a time to the last segment."""
     rules = sorted(RULES, key=lambda r: -len(r[1]))
     fits = []
     for says, rule in rules:
         domain, _, start = rule.partition("/")
-        fits.append((f"(host = '{domain}' or ends_with(host, '.{domain}')) and starts_with(path, '/{start}')", rule, says))
+        fits.append((f"(base.host = '{domain}' or ends_with(base.host, '.{domain}')) and starts_with(path, '/{start}')", rule, says))
     rule_case = "case " + " ".join(f"when {c} then '{rule}'" for c, rule, _ in fits) + " end"
     said_case = "case " + " ".join(f"when {c} then '{says}'" for c, _, says in fits) + " end"
-    levels = []
-    for level in range(DEPTH + 1):
-        before = f"tree{level - 1}" if level else "roots"
-        here = f"parts[{level + 1}]" if level < DEPTH else f"case when len(parts) > {DEPTH} then '**' end"
-        levels.append(f"""
-        cut{level} as (select *, {here} as part from {before}),
-        branch{level} as (select host, template, part, sum(n) as n, sum(labelled) as l, sum(n_good) as g from cut{level} group by all),
-        step{level} as (
-            select host, template, part, case when part is null then ''
-                when not (vals >= {VARIABLE_VALUES} and an < {VARIABLE_MEAN} * vals) and l > 0 and al > l and ag > 0 and al > ag
-                     and cast(g * (al - l) - (ag - g) * l as double) * cast(g * (al - l) - (ag - g) * l as double) * al
-                         >= {DIFFERENT} * (cast(l as double) * (al - l) * ag * (al - ag)) then '/~' || cast((10 * (g + 1)) // (l + 2) as varchar) else '/*' end as step
-            from (select *, count(part) over w as vals, sum(n) filter (where part is not null) over w as an,
-                         sum(l) filter (where part is not null) over w as al, sum(g) filter (where part is not null) over w as ag
-                  from branch{level} window w as (partition by host, template))),
-        tree{level} as (
-            select c.* exclude (template, part), c.template || s.step as template from cut{level} c join step{level} s
-            on c.host = s.host and c.template = s.template and c.part is not distinct from s.part)""")
     return f"""
-    with cut as (
+    with recursive cut as (
         select page_id, translate(coalesce(regexp_extract(url, '{URL}', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') as host,
                coalesce(regexp_extract(url, '{URL}', 2), '') as path from pages),
     known as (select doc_id, min(quality) = 1 as good from labels where doc_id is not null and quality is not null group by doc_id),
     base as (
         select cut.*, regexp_replace(path, '[0-9]+', '{{n}}', 'g') as shape, good
         from cut left join known on try_cast(nullif(regexp_extract(path, '/([0-9]+)', 1), '') as bigint) = doc_id),
-    roots as (
-        select host, shape, list_filter(string_split(shape, '/'), lambda x: x <> '') as parts, '' as template,
-               count(*) as n, count(good) as labelled, count(*) filter (where good) as n_good from base group by host, shape),
-    {','.join(levels)},
-    prior as (select coalesce(cast(sum(n_good) as double) / nullif(sum(labelled), 0), 1.0) as p from tree{DEPTH}),
+    tree(host, shape, parts, template, n, labelled, n_good, level) as (
+        select host, shape, list_filter(string_split(shape, '/'), lambda x: x <> ''), '',
+               count(*), count(good), count(*) filter (where good), 0 from base group by host, shape
+        union all
+        select host, shape, parts, template || case
+                   when not (vals >= {VARIABLE_VALUES} and an < {VARIABLE_MEAN} * vals) and l > 0 and al > l and ag > 0 and al > ag
+                        and cast(g * (al - l) - (ag - g) * l as double) * cast(g * (al - l) - (ag - g) * l as double) * al
+                            >= {DIFFERENT} * (cast(l as double) * (al - l) * ag * (al - ag))
+                   then '/~' || cast((10 * (g + 1)) // (l + 2) as varchar) else '/*' end, n, labelled, n_good, level + 1
+        from (select *, sum(labelled) over branch as l, sum(n_good) over branch as g, count(distinct part) over node as vals,
+                     sum(n) over node as an, sum(labelled) over node as al, sum(n_good) over node as ag
+              from (select *, parts[level + 1] as part from tree where level < len(parts))
+              window branch as (partition by host, template, part), node as (partition by host, template))),
+    ended as (select * from tree where level = len(parts)),
+    prior as (select coalesce(cast(sum(n_good) as double) / nullif(sum(labelled), 0), 1.0) as p from ended),
     judged as (
         select host, template, (sum(n_good) + {SMOOTHING} * any_value(p)) / (sum(labelled) + {SMOOTHING}) as purity
-        from tree{DEPTH}, prior group by host, template)
-    select page_id, base.host, path, {rule_case.replace('(host', '(base.host').replace('ends_with(host', 'ends_with(base.host')} as rule,
-           coalesce({said_case.replace('(host', '(base.host').replace('ends_with(host', 'ends_with(base.host')}, case when purity < {PURITY} then 'block' else 'allow' end) as verdict,
+        from ended, prior group by host, template)
+    select page_id, base.host, path, {rule_case} as rule, coalesce({said_case}, case when purity < {PURITY} then 'block' else 'allow' end) as verdict,
            t.template, cast(purity as double) as purity
-    from base join tree{DEPTH} t on base.host = t.host and base.shape = t.shape
+    from base join ended t on base.host = t.host and base.shape = t.shape
     join judged j on t.host = j.host and t.template = j.template
     """
