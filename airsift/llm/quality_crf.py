@@ -5,8 +5,9 @@ after it; the chain has a weight for each pair of neighbouring labels. Training
 its lines. Forward and backward sums give each line's probability of being good, and a document's score is their mean
 weighted by line length.
 
-The field is fitted on a bounded sample: the ``FIT_ROWS`` labelled rows with the least hashed ids, up to ``FIT_LINES``
-lines. Every document is scored in full.
+The field is fitted on a bounded sample: of the ``FIT_ROWS`` labelled texts with the least hashed ids, whole texts in that
+order until ``FIT_LINES`` lines are reached. Texts that share an id are chains of their own, equal rows count once. Every
+document is scored in full.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
-from airsift.llm.store import small_batches
+from airsift.llm.store import small_batches, stored
 
 FIT_ROWS = 4_000
 FIT_LINES = 200_000
@@ -189,6 +190,12 @@ class Field:
         return np.where(weight > 0, mass / np.maximum(weight, 1), blank)
 
 
+def _line_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in tb.chunks(batches):
+        counts = np.bincount(Lines(chunk).owner, minlength=chunk.texts)
+        yield pa.RecordBatch.from_arrays([chunk.column("rank"), chunk.column("tag"), pa.array(counts)], names=["rank", "tag", "lines"])
+
+
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in tb.chunks(batches):
         lines = Lines(chunk)
@@ -198,32 +205,49 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 chunk.column("rank").take(at),
+                chunk.column("tag").take(at),
                 pa.array(number),
                 chunk.column("quality").take(at),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * width), pa.array(lines.features.ravel())),
             ],
-            names=["rank", "line", "quality", "features"],
+            names=["rank", "tag", "line", "quality", "features"],
         )
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Field:
-    """A field from labelled rows that are not held out. Conflicting labels of one id count as bad."""
+def sample_lines(documents: DataFrame, labels: DataFrame, most_rows: int = FIT_ROWS, most_lines: int = FIT_LINES):
+    """The lines (rank, tag, line, quality, features) of the sample, in order, as a pandas frame.
+
+    Labelled rows that are not held out; conflicting labels of one id count as bad. ``tag`` tells the texts of an id apart.
+    A text is taken whole or, if it would pass ``most_lines``, passed over.
+    """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     )
     rank = F.xxhash64("doc_id")
-    chosen = known.orderBy(rank, "doc_id").limit(FIT_ROWS).select(F.col("doc_id").alias("labelled"), "quality", rank.alias("rank"))
+    chosen = known.orderBy(rank, "doc_id").limit(most_rows).select(F.col("doc_id").alias("labelled"), "quality", rank.alias("rank"))
     texts = small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["labelled"]).select("rank", "quality", "text")
-    rows = marked.mapInArrow(_line_rows, "rank long, line long, quality int, features array<double>")
-    lines = rows.orderBy("rank", "line").limit(FIT_LINES).toPandas()
+    marked = texts.join(F.broadcast(chosen), texts["doc_id"] == chosen["labelled"]).select("rank", F.xxhash64("text").alias("tag"), "quality", "text")
+    marked = stored(marked, "labelled-texts").dropDuplicates(["rank", "tag"])
+    counts = marked.mapInArrow(_line_counts, "rank long, tag long, lines long").where("lines > 0")
+    taken, total = [], 0
+    for row in counts.orderBy("rank", "tag").limit(most_rows).collect():
+        if total + row["lines"] <= most_lines:
+            taken.append((row["rank"], row["tag"]))
+            total += row["lines"]
+    whole = marked.join(F.broadcast(marked.sparkSession.createDataFrame(taken, "rank long, tag long")), ["rank", "tag"])
+    rows = whole.mapInArrow(_line_rows, "rank long, tag long, line long, quality int, features array<double>")
+    return rows.orderBy("rank", "tag", "line").toPandas()
+
+
+def fit(documents: DataFrame, labels: DataFrame) -> Field:
+    """A field from ``sample_lines``."""
+    lines = sample_lines(documents, labels)
     if not len(lines):
         return Field(np.zeros(3 * FEATURES + 1), np.zeros((2, 2)))
     features = np.stack(lines["features"].to_numpy())
-    fresh = np.append(True, (lines["rank"].to_numpy()[1:] != lines["rank"].to_numpy()[:-1]) | (lines["line"].to_numpy()[1:] == 0))
-    owner = np.cumsum(fresh) - 1
+    owner = np.cumsum(lines["line"].to_numpy() == 0) - 1
     return Field.fitted(owner, features, lines["quality"].to_numpy(dtype=np.int64), int(owner[-1]) + 1)
 
 
