@@ -11,8 +11,10 @@ searched only in documents with enough windows for it. Candidates are then confi
 shingles.
 
 Items are few and short against the corpus: while their sets are below ``INDEX_VALUES`` they travel with the tasks and
-documents are read once, without a shuffle. A larger benchmark is joined with the documents' shingles instead; results
-are the same. Each text is judged alone, also where several rows share an id or have none.
+documents are read once, without a shuffle. Of a larger benchmark the sketches travel as a Bloom filter of ``FILTER_BYTES``
+at most, and only windows that pass it leave the task: they are joined with the sketches, by size class as above, to
+candidate pairs, and those with the shingles of both sides. Results are the same. Each text is judged alone, also where
+several rows share an id or have none.
 """
 
 from __future__ import annotations
@@ -32,8 +34,11 @@ WIDTH = 5
 # Shingles of all items that may be sent to every task: 16 MB.
 INDEX_VALUES = 2_000_000
 
+# Bits a sketch value takes in the filter, marks it sets there, and the filter's largest size. Beyond it more windows pass.
+FILTER_BITS, FILTER_MARKS, FILTER_BYTES = 16, 4, 32 << 20
+
 RESULT = "doc_id long, tag long, item_id long, n_item_shingles long, n_shared long, containment double"
-WINDOWS = "doc_id long, tag long, width long, shingle long"
+WINDOWS = "doc_id long, tag long, n_windows long, width long, shingle long"
 
 
 def sketch_size(sizes: np.ndarray, containment: int) -> np.ndarray:
@@ -136,17 +141,66 @@ def _searcher(items, containment: int):  # items: the rows of ``item_sets`` as a
     return rows
 
 
-def _all_windows(widths: list[int]):
+def _marks(width: int, shingles: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Places of a shingle in a filter of ``bits`` (a power of two) bits."""
+    first = tb.mix(shingles + np.uint64(width))
+    step = tb.mix(first) | np.uint64(1)
+    for mark in range(FILTER_MARKS):
+        yield (first + np.uint64(mark) * step) & np.uint64(bits - 1)
+
+
+def _mark_words(bits: int):
+    """Sketch values (width, shingle) to 64-bit words of the filter: place of the word and bits set in it."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths = batch.column(0).to_numpy()
+            shingles = batch.column(1).to_numpy().view(np.uint64)
+            for width in np.unique(widths):
+                for places in _marks(int(width), shingles[widths == width], bits):
+                    words, marks = (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63))
+                    yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(tb.as_signed(marks))], names=["word", "marks"])
+
+    return rows
+
+
+def sketch_filter(sketches: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter of (width, shingle) rows as 64-bit words; their union is made by Spark, its size is bounded."""
+    bits = min(8 * FILTER_BYTES, 1 << max(10, (FILTER_BITS * max(count, 1) - 1).bit_length()))
+    words = sketches.select("width", "shingle").mapInArrow(_mark_words(bits), "word long, marks long")
+    found = words.groupBy("word").agg(F.bit_or("marks").alias("marks")).toPandas()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[found["word"].to_numpy()] = found["marks"].to_numpy().view(np.uint64)
+    return out
+
+
+def _windows(widths: list[int], held: np.ndarray | None = None):
+    """The distinct windows of each text, of those ``held`` (a filter) may hold; with the text's number of windows."""
+
+    def passing(width: int, shingles: np.ndarray) -> np.ndarray:
+        kept = np.ones(len(shingles), dtype=bool)
+        for places in _marks(width, shingles, 64 * len(held)):
+            kept &= held[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63)) & np.uint64(1) == 1
+        return kept
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in tb.chunks(batches):
             words = tb.Words(chunk, lower=True)
             values = words.values()
             for width in widths:
-                texts, shingles = tb.distinct(*tb.windows(words, values, width, short_whole=False))
+                texts, shingles = tb.windows(words, values, width, short_whole=False)
+                per_text = np.bincount(texts, minlength=chunk.texts)
+                if held is not None:
+                    kept = passing(width, shingles)
+                    texts, shingles = texts[kept], shingles[kept]
+                texts, shingles = tb.distinct(texts, shingles)
                 yield pa.RecordBatch.from_arrays(
-                    [*(chunk.column(key).take(pa.array(texts)) for key in ("doc_id", "tag")), pa.array(np.full(len(texts), width)), pa.array(tb.as_signed(shingles))],
-                    names=["doc_id", "tag", "width", "shingle"],
-                )
+                    [
+                        *(chunk.column(key).take(pa.array(texts)) for key in ("doc_id", "tag")),
+                        pa.array(per_text[texts].astype(np.int64)), pa.array(np.full(len(texts), width)), pa.array(tb.as_signed(shingles)),
+                    ],
+                    names=["doc_id", "tag", "n_windows", "width", "shingle"],
+                )
 
     return rows
 
@@ -155,14 +209,27 @@ def _joined(docs: DataFrame, items: DataFrame, containment: int) -> DataFrame:
     """The same search for a benchmark of any size."""
     widths = sorted(row["width"] for row in items.select("width").distinct().collect())  # 1 to 5
     numbered = stored(items.withColumn("item", F.xxhash64("width", "shingles")), "items")
-    lacking = F.expr(f"n - cast(ceil({containment} * n / 100) as long) + 1")
-    sketches = numbered.select("item", "width", F.expr("transform(array_sort(transform(shingles, s -> struct(xxhash64(s) as h, s as s))), p -> p.s)").alias("by_hash"), lacking.alias("size"))
-    sketches = sketches.select("width", F.explode(F.slice("by_hash", F.lit(1), F.col("size").cast("int"))).alias("shingle")).distinct()
-    windows = docs.mapInArrow(_all_windows(widths), WINDOWS)
-    touched = stored(windows.join(sketches, ["width", "shingle"], "left_semi").select("doc_id", "tag").distinct(), "touched")
-    again = only_ids(docs, touched, ["doc_id", "tag"]).mapInArrow(_all_windows(widths), WINDOWS).distinct()
-    whole = numbered.select("item_id", "item", "n", "width", F.explode("shingles").alias("shingle"))
-    shared = again.join(whole, ["width", "shingle"]).groupBy("doc_id", "tag", "item_id", "item", "n").agg(F.count("*").alias("n_shared"))
+    fewest = F.expr(f"cast(ceil({containment} * n / 100) as long)")
+    by_hash = F.expr("transform(array_sort(transform(shingles, s -> struct(xxhash64(s) as h, s as s))), p -> p.s)")
+    # A size class: items whose sizes have as many binary digits.
+    size_class = F.length(F.bin("n")).alias("size_class")
+    kept = numbered.select("item_id", "item", "n", "width", size_class, fewest.alias("fewest"), F.explode(F.slice(by_hash, F.lit(1), (F.col("n") - fewest + 1).cast("int"))).alias("shingle"))
+    sketches = stored(kept, "item-sketches")
+    bounds = sketches.groupBy("width", "size_class").agg(F.min("fewest").alias("class_fewest"))
+    sketches = stored(sketches.drop("fewest").join(bounds, ["width", "size_class"]), "item-classes")
+    values = stored(sketches.select("width", "shingle").distinct(), "sketch-values")
+    held = sketch_filter(values, values.count())
+    hits = docs.mapInArrow(_windows(widths, held), WINDOWS)
+    pairs = hits.join(sketches, ["width", "shingle"]).where("n_windows >= class_fewest").select("doc_id", "tag", "item_id", "item", "n", "width").distinct()
+    pairs = stored(pairs, "candidates")
+    touched = stored(pairs.select("doc_id", "tag").distinct(), "touched")
+    # Documents' windows meet a candidate's shingles by the pair: no shingle is joined with items that are not candidates.
+    again = only_ids(docs, touched, ["doc_id", "tag"]).mapInArrow(_windows(widths), WINDOWS).distinct()
+    whole = pairs.join(numbered.select(F.col("item_id").alias("_id"), F.col("item").alias("_item"), "shingles"), F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item") == F.col("_item")))
+    wanted = whole.select("doc_id", "tag", "item_id", "item", "n", "width", F.explode("shingles").alias("shingle"))
+    mine = again.select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), F.col("width").alias("_width"), F.col("shingle").alias("_shingle"))
+    same = wanted["doc_id"].eqNullSafe(mine["_doc"]) & (wanted["tag"] == mine["_tag"]) & (wanted["width"] == mine["_width"]) & (wanted["shingle"] == mine["_shingle"])
+    shared = wanted.join(mine, same, "left_semi").groupBy("doc_id", "tag", "item_id", "item", "n").agg(F.count("*").alias("n_shared"))
     return shared.where(f"100 * n_shared >= {containment} * n").select("doc_id", "tag", "item_id", F.col("n").alias("n_item_shingles"), "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
 
 
