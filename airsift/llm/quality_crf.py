@@ -50,7 +50,7 @@ class Lines:
         breaks = np.flatnonzero(data == 10)
         starts = np.union1d(chunk.bounds[:-1][np.diff(chunk.bounds) > 0], breaks + 1)
         starts = starts[starts < len(data)]
-        ends = np.append(starts[1:], len(data))
+        ends = np.append(starts[1:], len(data))[: len(starts)]
         first, last = np.searchsorted(words.starts, starts), np.searchsorted(words.starts, ends)
         kept = last > first
         starts, ends, first, last = starts[kept], ends[kept], first[kept], last[kept]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
-from airsift.llm.store import BROADCAST_IDS, documents_of, small_batches, stored
+from airsift.llm.store import documents_of, small_batches, small_list, stored
 
 BUCKETS = 1 << 16
 SMOOTHING = 10.0
@@ -66,7 +66,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
     """log(trusted / corpus) of each bucket; ``trusted`` has the doc_id of documents known to be good."""
     chosen = stored(trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id is not null").distinct(), "trusted")
-    side = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
+    side = F.broadcast(chosen) if small_list(chosen.count()) else chosen
     docs = documents_of(documents)
     marked = docs.join(side, F.col("doc_id") == F.col("trusted_id"), "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
     sums = marked.mapInArrow(_counts, "bucket long, trusted long, corpus long").groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("corpus").alias("corpus"))
@@ -103,7 +103,7 @@ def _repeat_lines(chunk: tb.Chunk, words: tb.Words) -> np.ndarray:
     breaks = np.flatnonzero(chunk.data == 10)
     starts = np.union1d(chunk.bounds[:-1][np.diff(chunk.bounds) > 0], breaks + 1)
     starts = starts[starts < len(chunk.data)]
-    ends = np.append(starts[1:], len(chunk.data))
+    ends = np.append(starts[1:], len(chunk.data))[: len(starts)]
     owner = np.searchsorted(chunk.bounds, starts, side="right") - 1
     ends = np.where(chunk.data[ends - 1] == 10, ends - 1, ends)
     begun = np.searchsorted(words.starts, ends) - np.searchsorted(words.starts, starts)
@@ -158,11 +158,17 @@ def quality(documents: DataFrame, trusted: DataFrame, threshold: float = THRESHO
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:
-    return labels.where("quality = 1").select("doc_id")
+    """The ids labelled good and never bad: of several labels the worst counts; missing labels and ids count for nothing."""
+    known = labels.where("doc_id is not null and quality is not null")
+    return known.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id")
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that ``quality`` keeps, unchanged; every row is judged by its own text."""
+    """The documents that ``quality`` keeps, unchanged, whatever columns they have; every row is judged by its own text.
+
+    Null and empty texts have no words and go. Rows without an id and repeated rows are judged like others, an empty table
+    stays empty, and without labels the counts alone decide.
+    """
     spark = documents.sparkSession
     ratios = log_ratios(documents, trusted_documents(labels))
     judge = _judged(ratios, THRESHOLD)

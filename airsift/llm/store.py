@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from airsift.session import shared_folder
 
-# A list of ids is sent to every executor only up to this many (16 MB of numbers); beyond it the join shuffles.
-BROADCAST_IDS = 1_000_000
-# Texts in a batch between the JVM and Python.
-BATCH_ROWS = 500
+# A list of ids is sent to every executor only up to this size; beyond it the join shuffles. A row of the hashed list was
+# measured at 40 bytes with one column; each further one takes 16.
+BROADCAST_BYTES = 32 << 20
+BROADCAST_ROW, BROADCAST_COLUMN = 40, 16
+# Texts in a batch between the JVM and Python, and their bytes: a batch ends with the row that passes either.
+BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
@@ -21,9 +23,14 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small_list(rows: int, columns: int = 1) -> bool:
+    """Whether a list of numbers may be sent to every executor."""
+    return rows * (BROADCAST_ROW + BROADCAST_COLUMN * (columns - 1)) <= BROADCAST_BYTES
+
+
 def only_ids(frame: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``frame`` whose ``on`` columns are (``left_semi``) or are not (``left_anti``) in the stored table ``ids``."""
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    side = F.broadcast(ids) if small_list(ids.count(), len(on)) else ids
     renamed = side.select(*(F.col(name).alias(f"_{name}") for name in on))
     condition = F.lit(True)
     for name in on:
@@ -34,12 +41,16 @@ def only_ids(frame: DataFrame, ids: DataFrame, on: list[str], how: str = "left_s
 def small_batches(frame: DataFrame) -> DataFrame:
     """``frame``, in a session that hands texts to Python in small batches.
 
-    Spark's default of 10,000 rows makes batches of texts of tens of megabytes, which the JVM and the Python worker
-    each hold several times.
+    Spark's default of 10,000 rows or 64 MB makes batches of texts which the JVM and the Python worker each hold several
+    times. Both settings are lowered, never raised; one text longer than the bytes is a batch of its own.
     """
     conf = frame.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    bytes_key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = conf.get(bytes_key).lower().removesuffix("b")
+    if not (held.isdigit() and 0 < int(held) <= BATCH_BYTES):
+        conf.set(bytes_key, f"{BATCH_BYTES}b")
     return frame
 
 

@@ -1,10 +1,14 @@
 """The stages on the smallest tables, each against a plain account of what it must do."""
 
+import random
+
 import corpus_pipeline
-from airsift.llm import pii, quality_rules
+from airsift.llm import mixing, pii, quality_rules
 from conftest import SMALL
 from test_decontaminate import brute as leaks
+from test_mixing import plain_copies
 from test_near_dedup import brute as groups
+from texts import awkward, documents, prose
 
 
 def test_stages(spark):
@@ -36,3 +40,46 @@ def test_stages(spark):
         else:
             assert set(ids) <= {doc_id for doc_id, _ in rows} and after.where("copies < 1").isEmpty()
         before = after
+
+
+def tables(spark, folder, rows, labels, items):
+    documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+def test_awkward_rows(spark, tmp_path):
+    """Null and repeated ids, repeated rows, empty texts and a leak, through all stages; the mix's shares are right."""
+    rng = random.Random(31)
+    item = prose(rng, 40)
+    rows = awkward(rng)
+    good = [(k, prose(rng, rng.randrange(60, 200), 900) + " kind regards") for k in range(240)]
+    bad = [(300 + k, "\n".join(["# $ % junk | <buy>"] * 40)) for k in range(30)]
+    toxic = [(400 + k, prose(rng, 90, 900) + " horrid nasty vile words" * 3) for k in range(60)]
+    rows += good + bad + toxic + [(500, prose(rng, 60) + " " + item + " " + prose(rng, 60)), (None, prose(rng, 80, 900)), (good[0][0], good[0][1])]
+    rows += [(600, prose(rng, 70, 900) + " mail someone@example.org now")]
+    labels = [(k, 1, 0) for k, _ in good[::2]] + [(k, 0, 0) for k, _ in bad[::2]] + [(k, 1, 1) for k, _ in toxic[::2]] + [(None, 1, 0), (0, 1, None)]
+    tables(spark, str(tmp_path), rows, labels, [(1, item), (2, None), (3, "")])
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_tokens", "rate", "copies"]
+    got = out.collect()
+    ids = [r["doc_id"] for r in got]
+    assert 500 not in ids and not set(ids) & {300 + k for k in range(30)} and not set(ids) & {900, 901, 902, 903, 904, 912}
+    assert ids.count(0) <= 1 and all(r["copies"] >= 1 and r["n_tokens"] > 0 for r in got)
+    assert "someone@example.org" not in " ".join(r["text"] for r in got)
+    # Clean documents stay: those the mix gives no copy are few.
+    assert len(set(ids) & {k for k, _ in good}) > 200
+    # Its last stage again, judged on what it was given: every target met, in rates and about in copies.
+    docs = spark.createDataFrame([tuple(r)[:5] for r in got], "doc_id long, text string, lang string, source string, n_chars long")
+    marked = spark.read.parquet(f"{tmp_path}/labels.parquet").select("doc_id", mixing.label_domain().alias("domain"))
+    mixed = mixing.mix(docs, marked).collect()
+    total = sum(r["n_tokens"] for r in mixed)
+    for name, weight in mixing.TARGETS.items():
+        share = sum(r["rate"] * r["n_tokens"] * r[f"p_{name}"] for r in mixed) / total
+        assert not mixed[0]["targets_met"] or abs(share - weight) <= 1.1e-4 * weight
+    assert plain_copies(mixed)
+
+
+def test_empty_tables(spark, tmp_path):
+    tables(spark, str(tmp_path), [], [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

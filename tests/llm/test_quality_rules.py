@@ -82,6 +82,23 @@ def test_filter_keeps_rows_and_columns(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in verdicts.collect())
 
 
+def test_of_several_labels_the_worst_counts(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (2, 1), (3, None), (None, 1), (4, 0), (5, 1), (5, None)], "doc_id long, quality int")
+    assert sorted(r["doc_id"] for r in quality_rules.trusted_documents(labels).collect()) == [2, 5]
+
+
+def test_kept_rows_are_unchanged_whatever_they_hold(spark):
+    rng = random.Random(12)
+    rows = awkward(rng)
+    docs, none = documents(spark, rows), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    verdicts = quality_rules.quality(docs, quality_rules.trusted_documents(none)).where("kept")
+    kept = quality_rules.keep_good(docs, none)
+    assert kept.columns == docs.columns and kept.count() == verdicts.count() > 0
+    assert kept.where("text is null or text = ''").isEmpty()
+    assert kept.exceptAll(docs).isEmpty()
+    assert quality_rules.keep_good(docs.limit(0), none).count() == 0
+
+
 def test_without_trusted_or_documents(spark):
     none = spark.createDataFrame([], "doc_id long")
     got = quality_rules.quality(documents(spark, [prose(random.Random(1), 80), "few"]), none).collect()
