@@ -155,8 +155,8 @@ def _links_across(sets: DataFrame, labels: DataFrame, members: DataFrame, simila
     """All links between nodes of different components that share a band bucket."""
     spark = sets.sparkSession
     placed = members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("rep", "key", F.coalesce("label", "rep").alias("label"))
-    mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_nodes = stored(placed.join(mixed, "key", "left_semi").select(F.col("rep").alias("doc_id"), "label").distinct(), "open")
+    mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    open_nodes = stored(placed.join(stored(mixed, "mixed-keys"), "key", "left_semi").select(F.col("rep").alias("doc_id"), "label").distinct(), "open")
     chosen = sets.join(open_nodes, "doc_id").select("doc_id", "label", "shingles")
     counted = chosen.select("shingles").mapInArrow(_cell_counts, "cell long, count long").groupBy("cell").agg(F.sum("count").alias("count")).toPandas()
     frequency = np.zeros(CELLS, dtype=np.int64)
@@ -184,9 +184,11 @@ def near_duplicates(documents: DataFrame, similarity: int = SIMILARITY) -> DataF
     full = sketches.where("n_shingles > 0 and doc_id is not null")
     reps = stored(full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep")), "sets")
     assigned = full.join(reps, ["set_a", "set_b"])
-    entries = assigned.where("doc_id = rep").select("rep", F.explode("bands").alias("key"))
+    # Near copies share keys, so a key may hold a third of all nodes: what it is joined with is stored, and the join's result
+    # needs no placement, so that Spark splits the rows of such a key over tasks.
+    entries = assigned.where("doc_id = rep").dropDuplicates(["set_a", "set_b"]).select("rep", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last").select("key", "center")
-    members = stored(entries.join(shared, "key").distinct(), "members")
+    members = stored(entries.join(stored(shared, "shared-keys"), "key"), "members")
     ids = stored(members.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
     sets = stored(only_ids(docs, ids, ["doc_id"]).mapInArrow(_sets, "doc_id long, n long, shingles array<long>").where("n > 0"), "shingles")
     stars = members.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
