@@ -11,7 +11,8 @@
 
    and sets negative ones to 0, until every domain is within ``TOLERANCE`` of its weight, relative to it. In this metric
    a whole step is always safe, and exact while no rate meets 0, so rates stay close to 1. A step is one distributed sum
-   over all documents, one number a domain. If the error stops falling, no rates give the targets: the rows say so
+   over all documents, one number a domain. If a target lies outside the probabilities that documents have for it, or
+   the error stops falling, no rates give the targets: the rows say so
    (``targets_met``, ``residual``), and the rates are those that minimise
 
        1/2 * sum over domains of error^2 / weight  +  PENALTY/2 * mean over tokens of (rate - 1)^2
@@ -227,10 +228,16 @@ def _projected(members: DataFrame, names: list[str], weights: np.ndarray, total:
     """``members`` with the rates of projected-gradient least squares, the largest error relative to its weight, and the steps."""
     share = {name: F.col("n_tokens") * F.col(f"p_{name}") for name in names}
     pairs = [(a, b) for a in range(len(names)) for b in range(a, len(names))]
-    found = members.agg(*(F.sum(share[names[a]] * F.col(f"p_{names[b]}")).alias(f"m{a}_{b}") for a, b in pairs)).first()
+    sums = [F.sum(share[names[a]] * F.col(f"p_{names[b]}")).alias(f"m{a}_{b}") for a, b in pairs]
+    ends = [end(F.when(F.col("n_tokens") > 0, F.col(f"p_{name}"))).alias(f"{end.__name__}_{name}") for end in (F.min, F.max) for name in names]
+    found = members.agg(*sums, *ends).first()
     moments = np.zeros((len(names), len(names)))
     for (a, b), value in zip(pairs, found):
         moments[a, b] = moments[b, a] = float(value or 0) / total
+    low, high = (np.array([float(v or 0) for v in found[len(pairs) + k * len(names) :][: len(names)]]) for k in range(2))
+    if (low > weights * (1 + TOLERANCE)).any() or (high < weights * (1 - TOLERANCE)).any():
+        # Rates that meet all targets average the probabilities: no share is below the least or above the greatest of them.
+        return members.withColumn("rate", F.lit(1.0)), float("inf"), 0
     metric = np.linalg.pinv(moments, hermitian=True)
     rates = members.withColumn("rate", F.lit(1.0))
     worst: list[float] = []
