@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airsift import schemas
 from airsift.operators import features, profiles, staging
 from airsift.plans import audit as audit_plan
 from airsift.plans import build, ingest, serve, versions
@@ -293,15 +294,8 @@ def _write_bytes(i: Inputs, path: str, content: bytes) -> None:
     out.close()
 
 
-CHANGED, BROKEN = (3, "1997", "01"), (5, "1998", "07")
-
-
-def _folder(station: int, year: str, month: str) -> str:
-    return f"locationid = '{station}' and year = '{year}' and if(month <= '06', '01', '07') = '{month}'"
-
-
 def _ingest_runs(i: Inputs) -> DataFrame:
-    """Two runs over one archive. In between one file is rewritten with half of its rows, and one with no gzip.
+    """Two runs over one archive. In between its first file gets its rows twice, and its last one is no gzip any more.
 
     A row per station: what the second run did, and the rows landed after it.
     """
@@ -309,14 +303,14 @@ def _ingest_runs(i: Inputs) -> DataFrame:
     archive, target = f"{root}/archive", f"{root}/landed"
     _half_year_archive(i, i.measurements_raw, archive)
     ingest.ingest(i.spark, archive, target)
-    listed = {(r.station_id, str(r.month_start)): r.path for r in incremental.archive_listing(i.spark, archive).collect()}
-    changed = i.measurements_raw.where(_folder(*CHANGED)).where("cast(sensors_id as int) % 2 = 0").drop("locationid", "year", "month")
+    listed = incremental.archive_listing(i.spark, archive)
+    changed, broken = (listed.orderBy(*order).select("path").first()[0] for order in (["station_id", "month_start"], [F.desc("station_id"), F.desc("month_start")]))
     # A rewritten file keeps its name.
-    spare = f"{root}/spare"
-    changed.coalesce(1).write.options(header=True, compression="gzip", quoteAll=True).csv(spare)
-    content = i.spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(spare).select("content").first()[0]
-    _write_bytes(i, listed[CHANGED[0], f"{CHANGED[1]}-{CHANGED[2]}-01"], bytes(content))
-    _write_bytes(i, listed[BROKEN[0], f"{BROKEN[1]}-{BROKEN[2]}-01"], b"no gzip at all, only text")
+    once = i.spark.read.schema(schemas.MEASUREMENTS_RAW).option("header", True).csv(changed)
+    once.union(once).coalesce(1).write.options(header=True, compression="gzip", quoteAll=True).csv(f"{root}/spare")
+    content = i.spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(f"{root}/spare").select("content").first()[0]
+    _write_bytes(i, changed, bytes(content))
+    _write_bytes(i, broken, b"no gzip at all, only text")
     second = ingest.ingest(i.spark, archive, target)
     landed = ingest.read_landed(i.spark, target).groupBy(F.col("locationid").cast("int").alias("station_id")).agg(F.count("*").alias("landed_rows"))
     known = ingest.read_ledger(i.spark, target).groupBy(F.regexp_extract("path", r"/locationid=([^/]*)/", 1).cast("int").alias("station_id")).agg(F.count("*").alias("known_files"))
@@ -324,17 +318,15 @@ def _ingest_runs(i: Inputs) -> DataFrame:
     return told.join(landed, "station_id").join(known, "station_id")
 
 
-_HALF = "case when month <= '06' then '01' else '07' end"
 register(
     "ingest_runs_src10",
     _ingest_runs,
-    f"""with files as (select folder_station as station_id, year, {_HALF} as half, count(*) as n_rows,
-                          count(*) filter (sensor_id % 2 = 0) as even from raw group by 1, 2, 3),
-        marked as (select *, station_id = {CHANGED[0]} and year = '{CHANGED[1]}' and half = '{CHANGED[2]}' as changed,
-                          station_id = {BROKEN[0]} and year = '{BROKEN[1]}' and half = '{BROKEN[2]}' as broken from files)
+    """with files as (select folder_station as station_id, year, month <= '06' as early, count(*) as n_rows from raw group by 1, 2, 3),
+        marked as (select *, row_number() over (order by station_id, year, early desc) = 1 as changed,
+                          row_number() over (order by station_id desc, year desc, early) = 1 as broken from files)
         select station_id, count(*) filter (changed) as copied, count(*) filter (not changed and not broken) as skipped,
                count(*) filter (broken) as failed, case when bool_or(broken) then true end as unreadable,
-               cast(sum(case when changed then even else n_rows end) as bigint) as landed_rows, count(*) as known_files
+               cast(sum(case when changed then 2 * n_rows else n_rows end) as bigint) as landed_rows, count(*) as known_files
         from marked group by 1""",
 )
 
