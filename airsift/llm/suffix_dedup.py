@@ -16,6 +16,9 @@ as it is alone, so few reach the last step, and suffixes that share a digit move
 Digits and extents are compared by two independent 64-bit fingerprints. Groups are counts with partial sums and joins,
 never lists, so a passage in a third of all documents is no more than a count. Of settled blocks with equal extents one
 stands for all in the next pass.
+
+Passages of over 50 words may be shorter than the threshold. They are found alike, with words for bytes: anchors are
+grams of ``GRAM_WORDS`` words, and runs of words are formed only around anchors that recur.
 """
 
 from __future__ import annotations
@@ -36,8 +39,12 @@ THRESHOLD = 400
 SPREAD = 0.5
 GRAM = 8
 STEP = 16
+# Words of a passage that is told, and of its anchor.
+RUN = 51
+GRAM_WORDS = 16
 
 BLOCKS = "doc_id long, tag long, low int, high int, anchor int, digit long, extent long"
+REMOVED = "doc_id long, tag long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, places array<int>, grams array<long>"
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -132,7 +139,23 @@ def _steps(threshold: int):
     return rows
 
 
-def _covered(threshold: int):
+def _word_anchors(chunk: tb.Chunk, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bounds of each text's, word place in the text, fingerprint): grams of words such that each ``run`` of them holds one."""
+    words = tb.Words(chunk, lower=False)
+    total, gram = len(words.starts), min(GRAM_WORDS, run)
+    if total < run:
+        return np.zeros(chunk.texts + 1, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    sums = tb.FIRST.sums_of(words.values())
+    places = np.arange(total - gram + 1)
+    grams = tb.mix(tb.FIRST.between(sums, places, places + gram))
+    ranked = (grams & np.uint64(0xFFFFFFFF00000000)) | places.astype(np.uint64)
+    least = (_sliding_least(ranked, run - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    owner = words.text_of_each()
+    anchors = np.unique(least[owner[: total - run + 1] == owner[run - 1 :]])
+    return np.searchsorted(anchors, words.ranges), anchors - words.ranges[owner[anchors]], grams[anchors]
+
+
+def _covered(threshold: int, run: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in tb.chunks(batches):
             spans = chunk.column("spans")
@@ -148,9 +171,33 @@ def _covered(threshold: int):
                 runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 out.append((len(data), int(gone.sum()), runs, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
             sizes, removed, runs, digests = zip(*out)
+            bounds, places, grams = _word_anchors(chunk, run)
+            own = [chunk.column("doc_id"), chunk.column("tag"), *(pa.array(part, pa.int64()) for part in (sizes, removed, runs)), pa.array(digests, pa.string())]
+            anchors = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(places.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*own, anchors, tb.long_lists(bounds, grams)], names=[part.split()[0] for part in REMOVED.split(", ")])
+
+    return rows
+
+
+def _word_runs(run: int):
+    """Rows (doc_id, tag, text, spans) to the fingerprints of every run of words that holds a listed anchor."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in tb.chunks(batches):
+            spans = chunk.column("spans")
+            words = tb.Words(chunk, lower=False)
+            values = words.values()
+            owner = np.repeat(np.arange(chunk.texts), np.diff(spans.offsets.to_numpy()))
+            anchors = spans.flatten().field(0).to_numpy() + words.ranges[owner]
+            reach = run - min(GRAM_WORDS, run) + 1
+            starts, owner = (anchors[:, None] - np.arange(reach)).ravel(), np.repeat(owner, reach)
+            inside = (starts >= words.ranges[owner]) & (starts + run <= words.ranges[owner + 1])
+            starts, first = np.unique(starts[inside], return_index=True)
+            texts = pa.array(owner[inside][first])
+            found = (tb.mix(kind.between(kind.sums_of(values), starts, starts + run)) for kind in (tb.FIRST, tb.SECOND))
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), *(pa.array(part, pa.int64()) for part in (sizes, removed, runs)), pa.array(digests, pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                [chunk.column("doc_id").take(texts), chunk.column("tag").take(texts), *(pa.array(tb.as_signed(part)) for part in found)],
+                names=["doc_id", "tag", "run", "other"],
             )
 
     return rows
@@ -193,18 +240,41 @@ def repeated_starts(docs: DataFrame, threshold: int) -> DataFrame:
     return settled.union(by_step).union(by_string)
 
 
-def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
+def _removed(docs: DataFrame, threshold: int, run: int) -> DataFrame:
+    spans = stored(repeated_starts(docs, threshold), "repeats")
+    hit = _with_spans(docs, spans, ["low", "high"]).mapInArrow(_covered(threshold, run), REMOVED)
+    keys = stored(spans.select("doc_id", "tag").distinct(), "hit")
+    free = only_ids(docs, keys, ["doc_id", "tag"], "left_anti").withColumn("spans", F.expr("cast(null as array<struct<low: int, high: int>>)"))
+    return hit.union(free.mapInArrow(_covered(threshold, run), REMOVED))
+
+
+def shared_runs(docs: DataFrame, removed: DataFrame, run: int) -> DataFrame:
+    """Distinct (doc_id, tag) of rows without removed bytes that hold ``run`` words which start elsewhere too.
+
+    Anchors first, as above; then all runs around the anchors that such a row has in common with any other place.
+    """
+    entries = removed.select("doc_id", "tag", (F.col("n_removed") == 0).alias("open"), F.explode(F.arrays_zip("places", "grams")).alias("anchor"))
+    entries = entries.select("doc_id", "tag", "open", F.col("anchor.places").alias("place"), F.col("anchor.grams").alias("gram"))
+    live = stored(entries.groupBy("gram").agg(F.count("*").alias("n"), F.max("open").alias("open")).where("n > 1 and open").select("gram"), "word-anchors")
+    around = stored(entries.join(live, "gram").select("doc_id", "tag", "place").distinct(), "word-places")
+    runs = stored(_with_spans(docs, around, ["place"]).mapInArrow(_word_runs(run), "doc_id long, tag long, run long, other long"), "word-runs")
+    often = runs.groupBy("run", "other").agg(F.count("*").alias("n")).where("n > 1")
+    return stored(runs.join(often, ["run", "other"], "left_semi").select("doc_id", "tag").distinct(), "word-repeats")
+
+
+def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD, run: int = RUN) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and has_repeat.
 
     Removed is each UTF-8 byte covered by a ``threshold``-byte string that also starts anywhere else, in this or another
-    row; strings are judged on the input. Null and empty texts have no bytes. Every row is a text of its own: repeated
-    rows repeat each other. Rows of one id, or of none, are told apart by a 64-bit hash of the text. An empty table gives
-    no rows.
+    row; strings are judged on the input. ``has_repeat`` is true if bytes were removed, or ``run`` consecutive words
+    (without regard to the white space between them) start anywhere else too: short words make a passage of over 50 words
+    shorter than 400 bytes, which is told but not removed. Null and empty texts have no bytes and no words. Every row is
+    a text of its own: repeated rows repeat each other. Rows of one id, or of none, are told apart by a 64-bit hash of the
+    text. An empty table gives no rows.
     """
     docs = documents_of(documents).withColumn("tag", F.xxhash64("text"))
-    spans = stored(repeated_starts(docs, threshold), "repeats")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    hit = _with_spans(docs, spans, ["low", "high"]).mapInArrow(_covered(threshold), schema)
-    keys = stored(spans.select("doc_id", "tag").distinct(), "hit")
-    free = only_ids(docs, keys, ["doc_id", "tag"], "left_anti").withColumn("spans", F.expr("cast(null as array<struct<low: int, high: int>>)"))
-    return hit.union(free.mapInArrow(_covered(threshold), schema))
+    removed = stored(_removed(docs, threshold, run), "removed")
+    repeated = shared_runs(docs, removed, run)
+    found = only_ids(removed, repeated, ["doc_id", "tag"]).withColumn("has_repeat", F.lit(True))
+    rest = only_ids(removed, repeated, ["doc_id", "tag"], "left_anti").withColumn("has_repeat", F.col("n_removed") > 0)
+    return found.union(rest).drop("tag", "places", "grams")

@@ -5,21 +5,24 @@ from collections import Counter
 import pytest
 
 from airsift.llm import suffix_dedup
-from texts import awkward, documents, prose
+from texts import awkward, documents, prose, words
 
 
-def brute(rows, threshold):
+def brute(rows, threshold, run=51):
     texts = [(doc_id, (text or "").encode()) for doc_id, text in rows]
     seen = Counter(data[i : i + threshold] for _, data in texts for i in range(len(data) - threshold + 1))
+    runs = Counter(tuple(own[i : i + run]) for own in (words(text) for _, text in rows) for i in range(len(own) - run + 1))
     out = Counter()
-    for doc_id, data in texts:
+    for (doc_id, data), (_, text) in zip(texts, rows):
         gone = bytearray(len(data))
         for i in range(len(data) - threshold + 1):
             if seen[data[i : i + threshold]] > 1:
                 gone[i : i + threshold] = b"\1" * threshold
         kept = bytes(c for c, g in zip(data, gone) if not g)
         spans = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
-        out[doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()] += 1
+        own = words(text)
+        told = any(gone) or any(runs[tuple(own[i : i + run])] > 1 for i in range(len(own) - run + 1))
+        out[doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest(), told] += 1
     return out
 
 
@@ -42,6 +45,25 @@ def test_removed_bytes_equal_brute_force(spark, threshold):
     assert sum(r["n_removed"] for r in got) > 0
 
 
+@pytest.mark.parametrize("run", [51, 5])
+def test_passages_of_words_shorter_than_the_threshold(spark, run):
+    """Shared passages of one word less, just enough and more words, most of them below 400 bytes, at any place."""
+    rng = random.Random(run)
+    passages = [prose(rng, 70) for _ in range(4)]
+    rows = []
+    for place in range(60):
+        parts = [prose(rng, rng.randrange(0, 40), 5000) for _ in range(2)]
+        if place % 3:
+            held = rng.choice(passages).split()
+            start = rng.randrange(0, 5)
+            parts.insert(rng.randrange(3), rng.choice([" ", "\n", "\t "]).join(held[start : start + rng.choice([run - 1, run, run + 1, 65])]))
+        rows.append((place, " ".join(parts)))
+    rows += [(None, " ".join(passages[0].split()[:60])), (None, passages[1]), (70, None), (70, "")]
+    got = suffix_dedup.remove_repeats(documents(spark, rows), run=run).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 400, run)
+    assert any(r["has_repeat"] and not r["n_removed"] for r in got) and not all(r["has_repeat"] for r in got)
+
+
 def test_rows_without_id_whose_short_hashes_collide(spark):
     """The first two texts have one 32-bit hash; they are of different lengths."""
     rows = [(None, "t36232 abcdefghij "), (None, "t119875 abcdefghij "), (None, "t36232 abcdefghij"), (None, None), (None, "")]
