@@ -182,19 +182,19 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [pa.array([sum(s[2] == kind for s in spans) for spans in base_of], pa.int64()) for kind in KINDS[:4]]
         digests = [hashlib.sha256(joined(spans).encode()).hexdigest() for spans in base_of]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *counts, pa.array(digests, pa.string()), pa.array([joined(s) for s in all_of], pa.string())],
-            names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+            [batch.column(0), *counts, pa.array(digests, pa.string()), pa.array([joined(s) for s in all_of], pa.string()), pa.array([len(s) for s in all_of], pa.int64())],
+            names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"],
         )
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans (base and added).
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_spans (base and added).
 
     Null and empty texts have no spans. Every row is judged by itself, so repeated rows and null ids do no harm; an
     empty table gives no rows.
     """
     return documents_of(documents).mapInArrow(
-        _found, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+        _found, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
     )
 
 

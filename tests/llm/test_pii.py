@@ -74,6 +74,7 @@ def test_query_and_mask(spark):
         joined = ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
         expected.append((str(doc_id), *(sum(s[2] == k for s in spans) for k in PATTERNS), hashlib.sha256(joined.encode()).hexdigest()))
     assert got == sorted(expected)
+    assert all(r["n_spans"] == (r["spans"].count(",") + 1 if r["spans"] else 0) for r in pii.personal_data(docs).collect())
     masked = pii.mask(docs)
     assert masked.columns == docs.columns and masked.dtypes == docs.dtypes and masked.count() == len(rows)
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()}
