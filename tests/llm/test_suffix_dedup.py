@@ -73,5 +73,8 @@ def test_rows_without_id_whose_short_hashes_collide(spark):
     assert Counter(tuple(r) for r in got) == brute(rows, 12)
 
 
-def test_empty_table(spark):
+def test_empty_table_and_only_empty_texts(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, " \n")]
+    got = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
+    assert Counter(tuple(r) for r in got) == brute(rows, 400)
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
