@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 
 from airsift.session import shared_folder
 
-# Turns of a part, about: parts are cut finer than the session's shuffles where the table needs it.
+# Turns of a part and bytes of their texts, about: parts are cut finer than the session's shuffles where the table needs it.
 PART_TURNS = 200_000
+PART_BYTES = 128 << 20
+# Characters of a text that are its key where parts are cut: a sample of the keys goes to the driver.
+KEY_CHARACTERS = 64
 
 START, SYSTEM, USER, ASSISTANT = range(4)
 STATES = ("", "system", "user", "assistant")
@@ -218,25 +221,32 @@ def _repaired(before: dict[int, int], after: dict[int, np.ndarray], continues: d
     return rows
 
 
+def _parts(table: DataFrame) -> int:
+    """The parts that a table needs, by its turns and the bytes of their texts."""
+    size = table.agg(F.count("*").alias("turns"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    return max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size["turns"] // PART_TURNS), -(-size["bytes"] // PART_BYTES))
+
+
 def repair(conversations: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per given turn: conv_id, turn, role, repaired_role, action, cost and rendered.
 
     ``rendered`` strings of a conversation, joined in order of turn, are the repaired conversation as text. Turns are
-    ordered by turn (nulls first), then role and text, so ties and repeated rows have one order; their rows are all
-    kept. Unknown and null roles are relabelled, null texts are empty. Turns without conv_id are one conversation. An
-    empty table gives no rows. ``parts`` is the number of parts, by default that of the session's shuffles, or more where
-    the parts would have over ``PART_TURNS`` turns.
+    ordered by turn (nulls first), then role, the first ``KEY_CHARACTERS`` characters of the text and a 64-bit hash of all
+    of it, so ties and repeated rows have one order; their rows are all kept. Equal rows may lie in several parts. Unknown
+    and null roles are relabelled, null texts are empty. Turns without conv_id are one conversation. An empty table gives
+    no rows. ``parts`` is the number of parts, by default that of the session's shuffles, or more where the parts would
+    have over ``PART_TURNS`` turns or ``PART_BYTES`` of text on average.
     """
     spark = conversations.sparkSession
-    count = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-conversations.count() // PART_TURNS))
-    order = ["conv_id", "turn", "role", "text"]
     table = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")
     )
+    count = parts or _parts(table)
+    order = ["conv_id", "turn", "role", F.substring("text", 1, KEY_CHARACTERS), F.xxhash64("text")]
     # The parts must be the same in each pass, whatever is lost and run again.
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoint"))
-    placed = table.repartitionByRange(count, *order).sortWithinPartitions(*order).checkpoint()
+    placed = table.repartitionByRange(count, *order, F.monotonically_increasing_id()).sortWithinPartitions(*order, "text").checkpoint()
     schema = "part long, runs long, first_conv long, last_conv long, first_costs array<double>, last_costs array<double>"
     edges = sorted(placed.select("conv_id", "role").mapInArrow(_edges, schema).collect(), key=lambda row: row["part"])
     rests = _after(edges)

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from airsift.llm import chat_format
 from airsift.llm.chat_format import CHOICES, FINAL, INSERT, MERGE, RELABEL, STATES
@@ -70,3 +71,16 @@ def test_repairs(spark):
 
 def test_empty(spark):
     assert chat_format.repair(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_equal_rows_lie_in_several_parts_and_long_texts_make_more(spark, monkeypatch):
+    rows = [(7, 1, "user", "again", 1, 2.0)] * 4000 + [(8, turn, "assistant", "y" * 3000, 1, 2.0) for turn in range(200)]
+    rows += [(9, 1, "user", "z" * 100 + end, 1, 2.0) for end in ("b", "a", "", "a")]
+    table = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    one = chat_format.repair(table, 1)
+    got = chat_format.repair(table, 8)
+    assert ordered(got) == ordered(one)
+    assert got.where("conv_id = 7").select(spark_partition_id()).distinct().count() > 1
+    assert one.where("conv_id = 7").agg({"cost": "sum"}).first()[0] == 3998 * MERGE + RELABEL
+    monkeypatch.setattr(chat_format, "PART_BYTES", 10_000)
+    assert chat_format._parts(table) == -(-sum(len(row[3]) for row in rows) // 10_000)
