@@ -6,8 +6,10 @@ characters, then three, two and one; n-grams know whether they begin or end the
 was learned says nothing. A document's score in a language is the mean over its words.
 
 The model is fitted on a bounded sample: about ``ROWS_PER_LANGUAGE`` labelled rows of each language, those with the
-least hashed ids. Every word and n-gram found there ``LEAST_COUNT`` times is learned, so a language keeps its own however
-many others there are; only counts above 0 are stored. Every document is scored.
+least hashed ids, or fewer where their texts would have over ``BYTES_PER_LANGUAGE`` bytes on average, or all languages'
+over ``SAMPLE_BYTES``. At most ``MOST_LANGUAGES`` are learned, those with most labelled rows. Every word and n-gram found
+there ``LEAST_COUNT`` times is learned, so a language keeps its own however many others there are; only counts above 0
+are stored. Every document is scored.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from airsift.llm import textbatch as tb
 from airsift.llm.store import small_batches
 
 ROWS_PER_LANGUAGE = 1_000
+# What the model on the driver grows with: texts of the sample by language and in all, and languages.
+BYTES_PER_LANGUAGE, SAMPLE_BYTES = 16 << 20, 256 << 20
+MOST_LANGUAGES = 1_000
 LEAST_COUNT = 2
 LONGEST_GRAM = 4
 UNKNOWN = "und"
@@ -182,20 +187,26 @@ def _predicted(model: Model):
     return rows
 
 
+def _share(rows: int, size: int, languages: int) -> int:
+    """How many of ``_HASHED`` values take a row into the sample, for a language of ``rows`` rows and ``size`` bytes."""
+    most = min(BYTES_PER_LANGUAGE, SAMPLE_BYTES // languages)
+    return min(_HASHED, _HASHED * ROWS_PER_LANGUAGE // rows, _HASHED * most // max(size, 1))
+
+
 def fit(documents: DataFrame) -> Model:
     """A model of the languages in ``lang``, from rows that are not held out."""
     labelled = small_batches(documents).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    totals = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}  # one row a language
-    languages = sorted(totals)
+    totals = labelled.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"))
+    totals = totals.orderBy(F.desc("rows"), "lang").limit(MOST_LANGUAGES).collect()
+    languages = sorted(row["lang"] for row in totals)
     if not languages:
         return Model([], pd.DataFrame({"size": [], "key": [], "lang": [], "count": []}))
+    shares = labelled.sparkSession.createDataFrame([(row["lang"], _share(row["rows"], row["bytes"], len(languages))) for row in totals], "lang string, share long")
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(_HASHED))
-    share = F.lit(0)
-    for name in languages:
-        share = F.when(F.col("lang") == name, F.lit(min(_HASHED, _HASHED * ROWS_PER_LANGUAGE // totals[name]))).otherwise(share)
-    sample = labelled.where(hashed < share).select("text", "lang")
+    # A row a language, MOST_LANGUAGES at most.
+    sample = labelled.join(F.broadcast(shares), "lang").where(hashed < F.col("share")).select("text", "lang")
     counts = sample.mapInArrow(_counted(languages), "size long, key long, lang long, count long").groupBy("size", "key", "lang").agg(F.sum("count").alias("count"))
     entries = counts.where(F.col("count") >= LEAST_COUNT).select(F.col("size").cast("byte").alias("size"), "key", F.col("lang").cast("int").alias("lang"), "count")
     return Model(languages, entries.toPandas())

@@ -103,3 +103,21 @@ def test_nothing_to_learn_from_and_empty(spark):
     docs = documents(spark, ["some words"], lang=None)
     assert [tuple(r)[2:] for r in language_id.identify(docs).collect()] == [("und", 0.0)]
     assert language_id.identify(documents(spark, [])).count() == 0
+
+
+def test_the_sample_is_bounded_by_bytes_and_languages(spark, monkeypatch):
+    rng = random.Random(8)
+    parts = []
+    for place, lang in enumerate(SYLLABLES):
+        parts.append(documents(spark, [(place * 1000 + k, speech(rng, lang, 40)) for k in range(200 - 50 * place)], lang=lang))
+    docs = parts[0].union(parts[1]).union(parts[2])
+    whole = language_id.fit(docs)
+    monkeypatch.setattr(language_id, "BYTES_PER_LANGUAGE", 4_000)
+    fewer = language_id.fit(docs)
+    assert fewer.languages == whole.languages == sorted(SYLLABLES)
+    assert 0 < len(fewer.tables[0].keys) < len(whole.tables[0].keys)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    assert language_id.fit(docs).languages == ["aa", "bb"]
+    assert language_id._share(10, 100, 2) == language_id._HASHED
+    assert language_id._share(10, 16_000, 2) == language_id._HASHED // 4
+    assert language_id._share(10, 0, 300) == language_id._HASHED
