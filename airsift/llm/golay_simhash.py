@@ -16,9 +16,10 @@ in both directions, and is confirmed by counting bits. Keys are ``int`` numbers
 Equal fingerprints are one node. Near copies crowd into the same keys, so pairs are not formed at once:
 
 1. Each fingerprint is compared with the least one stored under each of its keys; found links give classes.
-2. Keys that hold more than one class are joined again. What is stored in the largest class of a key is left out on one
-   side: of two linked fingerprints of different classes at least one lies outside it, and is found stored there by the
-   other's search. So a group whose members are joined already costs no pairs.
+2. Keys that hold more than one class are joined again, all but the pairs inside a key's largest class: what is stored
+   outside of it is compared with all that search the key, what is stored in it with those from outside. So a group
+   whose members are joined already costs no pairs. Two linked fingerprints may meet under a key each only, one stored
+   and the other searching; each can lie in the largest class of its own key, so neither side may be left out alone.
 """
 
 from __future__ import annotations
@@ -230,10 +231,16 @@ def classes(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     mixed = stored(mixed.select("key"), "golay-mixed")
     inside = stored(labelled(kept).join(mixed, "key", "left_semi"), "golay-inside")
     largest = inside.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-    outside = inside.join(stored(largest, "golay-largest"), "key").where("label <> largest").select("key", F.col("fp").alias("other"), F.col("label").alias("other_label"))
-    outside = stored(outside, "golay-outside")
-    pairs = labelled(search).join(outside, "key").where((F.col("label") != F.col("other_label")) & (_differing("fp", "other") <= most_bits))
-    links = pairs.select(F.col("label").alias("a"), F.col("other_label").alias("b")).distinct()
+    largest = stored(largest, "golay-largest")
+    inside = inside.join(largest, "key").select("key", F.col("fp").alias("other"), F.col("label").alias("other_label"), (F.col("label") == F.col("largest")).alias("in_largest"))
+    inside = stored(inside, "golay-placed")
+    asking = stored(labelled(search).join(largest, "key"), "golay-asking")
+
+    def found(entries: DataFrame, others: DataFrame) -> DataFrame:
+        pairs = entries.join(others, "key").where((F.col("label") != F.col("other_label")) & (_differing("fp", "other") <= most_bits))
+        return pairs.select(F.col("label").alias("a"), F.col("other_label").alias("b"))
+
+    links = found(asking, inside.where("not in_largest")).union(found(asking.where("label <> largest"), inside.where("in_largest"))).distinct()
     return components(stars.union(stored(links, "golay-links"))).select(F.col("node").alias("fp"), "label")
 
 

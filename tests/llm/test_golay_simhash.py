@@ -116,6 +116,30 @@ def test_classes_equal_all_pairs(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_link_between_the_largest_classes_of_two_keys(spark):
+    """x and y meet under one key each, where the other only searches; a lesser neighbour of either is stored there."""
+    rng = random.Random(6)
+    nodes, linked = set(), 0
+    while linked < 40:
+        x = rng.getrandbits(64) | 0b11 << 24 | 0b11 << 28
+        # Segment 0 is equal; one bit differs in the half of bits 32 to 39 and 48 to 63, two in the other half.
+        y = x ^ 1 << rng.randrange(48, 64) ^ 1 << rng.randrange(40, 48) ^ 1 << rng.randrange(16, 24)
+        mine, its = x ^ 0b11 << 24, y ^ 0b11 << 28
+        heads, halves = zip(*golay._halves(np.array([x, y, mine, its], dtype=np.uint64)))
+        own = golay.decode(halves[0])
+        assert own[0] == own[2] and own[1] == own[3] and len(set(heads[0])) == 1
+        linked += own[0] != own[1]
+        nodes |= {x, y, mine, its}
+    frame = spark.createDataFrame([(int(np.uint64(n).view(np.int64)),) for n in nodes], "fp long")
+    labels = {int(np.int64(r["fp"]).view(np.uint64)): r["label"] for r in golay.classes(frame).collect()}
+    plain = plain_classes(nodes)
+    groups, expected = {}, {}
+    for n in nodes:
+        groups.setdefault(labels[n], set()).add(n)
+        expected.setdefault(plain[n], set()).add(n)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_documents_equal_brute_force(spark):
     rng = random.Random(4)
     rows = awkward(rng)
