@@ -15,7 +15,7 @@ as it is alone, so few reach the last step, and suffixes that share a digit move
 
 Digits and extents are compared by two independent 64-bit fingerprints. Groups are counts with partial sums and joins,
 never lists, so a passage in a third of all documents is no more than a count. Of settled blocks with equal extents one
-stands for all in the next pass.
+stands for all in the next pass. Tables are dropped as soon as what was made of them is stored.
 
 Passages of over 50 words may be shorter than the threshold. They are found alike, with words for bytes: anchors are
 grams of ``GRAM_WORDS`` words, and runs of words are formed only around anchors that recur.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airsift.llm import textbatch as tb
-from airsift.llm.store import documents_of, only_ids, stored
+from airsift.llm.store import documents_of, drop_stored, only_ids, stored
 
 THRESHOLD = 400
 # Share of the threshold in which a suffix looks for its anchor; the rest is the first digit.
@@ -212,36 +212,41 @@ def _with_spans(docs: DataFrame, spans: DataFrame, columns: list[str]) -> DataFr
 
 
 def repeated_starts(docs: DataFrame, threshold: int) -> DataFrame:
-    """Rows (doc_id, tag, low, high): starts low to high (exclusive) of strings that occur elsewhere too."""
+    """Stored rows (doc_id, tag, low, high): starts low to high (exclusive) of strings that occur elsewhere too."""
     blocks = stored(docs.mapInArrow(_blocks(threshold), BLOCKS), "blocks")
     place = F.struct("doc_id", "tag", "low")
     extents = stored(blocks.groupBy("digit", "extent").agg(F.count("*").alias("n"), F.min(place).alias("first")), "extents")
     digits = extents.groupBy("digit").agg(F.sum("n").alias("total"), F.count("*").alias("different")).where("total > 1")
     live = stored(extents.join(digits, "digit").select("digit", "extent", "n", "first", "different"), "live")
     here = stored(blocks.join(live, ["digit", "extent"]), "live-blocks")
+    drop_stored(blocks, extents, live)
     settled = here.where("n > 1").select("doc_id", "tag", "low", "high")
     open_blocks = here.where(F.col("different") > 1).where((F.col("n") == 1) | F.col("first").eqNullSafe(place))
     open_blocks = open_blocks.select("doc_id", "tag", "low", "high", "anchor", (F.col("n") > 1).alias("settled"))
     open_blocks = stored(open_blocks.distinct(), "open-blocks")
     schema = "doc_id long, tag long, low int, high int, settled boolean, digit long, extent long, strings array<long>"
     steps = stored(_with_spans(docs, open_blocks, ["low", "high", "anchor", "settled"]).mapInArrow(_steps(threshold), schema).dropDuplicates(["doc_id", "tag", "low", "high"]), "steps")
+    drop_stored(open_blocks)
     extents = steps.groupBy("digit", "extent").agg(F.count("*").alias("n"), F.max("settled").alias("known"), F.min(place).alias("first"))
     extents = stored(extents, "step-extents")
     digits = extents.groupBy("digit").agg(F.sum("n").alias("total"), F.count("*").alias("different"), F.min("known").alias("all_known")).where("total > 1")
-    live = extents.join(digits, "digit").select("digit", "extent", "n", "known", "first", "different", "all_known")
-    here = stored(steps.join(stored(live, "live-steps"), ["digit", "extent"]), "live-step-rows")
+    live = stored(extents.join(digits, "digit").select("digit", "extent", "n", "known", "first", "different", "all_known"), "live-steps")
+    live_steps = stored(steps.join(live, ["digit", "extent"]), "live-step-rows")
+    drop_stored(steps, extents, live)
     # An equal extent in a settled block settles its equals too.
-    by_step = here.where("n > 1 and not settled").select("doc_id", "tag", "low", "high")
-    single = here.where("different > 1 and not all_known").where((F.col("n") == 1) | F.col("first").eqNullSafe(place))
+    by_step = live_steps.where("n > 1 and not settled").select("doc_id", "tag", "low", "high")
+    single = live_steps.where("different > 1 and not all_known").where((F.col("n") == 1) | F.col("first").eqNullSafe(place))
     single = single.select("doc_id", "tag", "low", "digit", (F.col("settled") | (F.col("n") > 1)).alias("settled"), F.posexplode("strings").alias("step", "string"))
     single = stored(single, "strings")
     often = single.groupBy("digit", "string").agg(F.count("*").alias("n"), F.min(F.col("settled").cast("int")).alias("all_settled")).where("n > 1 and all_settled = 0")
     by_string = single.where("not settled").join(often, ["digit", "string"], "left_semi").select("doc_id", "tag", (F.col("low") + F.col("step")).alias("low"), (F.col("low") + F.col("step") + 1).alias("high"))
-    return settled.union(by_step).union(by_string)
+    repeats = stored(settled.union(by_step).union(by_string), "repeats")
+    drop_stored(here, live_steps, single)
+    return repeats
 
 
 def _removed(docs: DataFrame, threshold: int, run: int) -> DataFrame:
-    spans = stored(repeated_starts(docs, threshold), "repeats")
+    spans = repeated_starts(docs, threshold)
     hit = _with_spans(docs, spans, ["low", "high"]).mapInArrow(_covered(threshold, run), REMOVED)
     keys = stored(spans.select("doc_id", "tag").distinct(), "hit")
     free = only_ids(docs, keys, ["doc_id", "tag"], "left_anti").withColumn("spans", F.expr("cast(null as array<struct<low: int, high: int>>)"))
@@ -259,7 +264,9 @@ def shared_runs(docs: DataFrame, removed: DataFrame, run: int) -> DataFrame:
     around = stored(entries.join(live, "gram").select("doc_id", "tag", "place").distinct(), "word-places")
     runs = stored(_with_spans(docs, around, ["place"]).mapInArrow(_word_runs(run), "doc_id long, tag long, run long, other long"), "word-runs")
     often = runs.groupBy("run", "other").agg(F.count("*").alias("n")).where("n > 1")
-    return stored(runs.join(often, ["run", "other"], "left_semi").select("doc_id", "tag").distinct(), "word-repeats")
+    found = stored(runs.join(often, ["run", "other"], "left_semi").select("doc_id", "tag").distinct(), "word-repeats")
+    drop_stored(live, around, runs)
+    return found
 
 
 def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD, run: int = RUN) -> DataFrame:

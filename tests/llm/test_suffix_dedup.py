@@ -1,10 +1,11 @@
+import itertools
 import hashlib
 import random
 from collections import Counter
 
 import pytest
 
-from airsift.llm import suffix_dedup
+from airsift.llm import store, suffix_dedup
 from texts import awkward, documents, prose, words
 
 
@@ -78,3 +79,14 @@ def test_empty_table_and_only_empty_texts(spark):
     got = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
     assert Counter(tuple(r) for r in got) == brute(rows, 400)
     assert suffix_dedup.remove_repeats(documents(spark, [])).count() == 0
+
+
+def test_tables_are_dropped_once_used(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    shared = prose(rng, 200)
+    rows = [(k, f"{prose(rng, 60)} {shared if k % 2 else ''} {prose(rng, 60)}") for k in range(20)]
+    monkeypatch.setattr(store, "shared_folder", lambda spark, purpose, made=itertools.count(): f"{tmp_path}/a b/{purpose}-{next(made)}")
+    got = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
+    assert len(got) == 20 and {r["doc_id"] for r in got if r["n_removed"]} == set(range(1, 20, 2))
+    left = {folder.name.rpartition("-")[0].removeprefix("llm-") for folder in (tmp_path / "a b").iterdir()}
+    assert left == {"span-ids", "repeats", "hit", "removed", "word-repeats"}
