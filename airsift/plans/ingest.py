@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airsift.plans.versions import Draft, committed
-from airsift.plans.writers import FOLDER_SIZING, write_sizing, write_table
+from airsift.plans.writers import FOLDER_SIZING, OPEN_FOLDERS, write_sizing, write_table
 from airsift import schemas
 from airsift.sources import files, incremental
 
@@ -103,8 +103,8 @@ def ingest(spark: SparkSession, archive: str, target: str, window: tuple[dt.date
         schema = f"{schemas.MEASUREMENTS_RAW}, {schemas.MEASUREMENTS_PARTITIONS}"
         rows = spark.read.schema(schema).option("header", True).option("basePath", archive).csv(sound)
         named = rows.withColumn("source", F.col("_metadata.file_name"))
-        with write_sizing(spark, FOLDER_SIZING):
-            writer = named.sortWithinPartitions(*FOLDERS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        with write_sizing(spark, FOLDER_SIZING | OPEN_FOLDERS):
+            writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*FOLDERS).option("compression", "snappy").parquet(f"{root}/rows")
         _drop_emptied(spark, root, rows, sound, ledger)
     done = listing.join(outcomes.where("error is not null").select("path"), "path", "left_anti")

@@ -12,6 +12,7 @@ from airsift import schemas
 from airsift.operators import features, profiles, staging
 from airsift.plans import audit as audit_plan
 from airsift.plans import build, ingest, serve, versions
+from airsift.plans.writers import OPEN_FOLDERS, write_sizing
 from airsift.session import shared_folder
 from airsift.sources import files, incremental
 from airsift.streaming import live
@@ -282,9 +283,10 @@ def _half_year_archive(i: Inputs, rows: DataFrame, path: str) -> None:
     """Gzip text, one file per station and half-year; the month folder is its first month."""
     half = F.when(F.col("month") <= "06", F.lit("01")).otherwise(F.lit("07"))
     folders = ["locationid", "year", "month"]
-    placed = rows.withColumn("month", half).repartition(8, *folders).sortWithinPartitions(*folders)
+    placed = rows.withColumn("month", half).repartition(*folders)
     options = {"header": True, "compression": "gzip", "quoteAll": True, "partitionOverwriteMode": "dynamic"}
-    placed.write.mode("overwrite").partitionBy(*folders).options(**options).csv(path)
+    with write_sizing(i.spark, OPEN_FOLDERS):
+        placed.write.mode("overwrite").partitionBy(*folders).options(**options).csv(path)
 
 
 def _write_bytes(i: Inputs, path: str, content: bytes) -> None:
@@ -339,7 +341,8 @@ def _allowlisted(i: Inputs) -> DataFrame:
     for row in unlisted.groupBy("station_id").agg(F.min("path").alias("path")).collect():
         _write_bytes(i, row.path, b"no gzip at all, only text")
     rows = files.of_stations(files.read_measurements(i.spark, archive), i.stations)
-    return staging.enrich_measurements(staging.stage_measurements(rows), i.stations).groupBy("location_id", "location_name", "parameter").agg(F.count("*").alias("n_rows"))
+    # Gzip text unpacks to many times the size that Spark goes by, which must not make it the side that is broadcast.
+    return staging.enrich_measurements(staging.stage_measurements(rows), F.broadcast(i.stations)).groupBy("location_id", "location_name", "parameter").agg(F.count("*").alias("n_rows"))
 
 
 register(

@@ -1,5 +1,9 @@
 import datetime as dt
 import gzip
+import json
+import pathlib
+import subprocess
+import sys
 
 import pytest
 
@@ -109,3 +113,50 @@ def test_increment_of_features_equals_full_build_over_gaps(spark, seam):
     months = {r.measurement_date.replace(day=1) for r in changed} | {first.replace(day=1)}
     kept = [r for r in stored.collect() if r.measurement_date < first and r.measurement_date.replace(day=1) not in months]
     assert sorted(map(str, kept + changed)) == sorted(map(str, full.collect()))
+
+
+PLANS = """
+import json, os, pathlib, sys
+from airsift.session import local_session
+from airsift.plans import ingest
+from catalog import stored
+
+root = pathlib.Path(sys.argv[1])
+log = {"enabled": "true", "dir": f"file://{root}/events", "rolling.enabled": "false", "compress": "false"}
+os.environ["PYSPARK_SUBMIT_ARGS"] = " ".join(f"--conf spark.eventLog.{key}={value}" for key, value in log.items()) + " pyspark-shell"
+(root / "events").mkdir()
+spark = local_session("plans", cores="2", shuffle_partitions=4)
+
+class Given:
+    pass
+
+given = Given()
+given.spark = spark
+columns = "'7' as sensors_id, 'A' as location, '2024-01-05T12:00:00+07:00' as datetime, '21' as lat, '105' as lon, 'pm25' as parameter, 'ug' as units"
+rows = spark.range(20000).selectExpr("string(id % 5) as location_id", *columns.split(", "), "string(id) as value", "string(id % 5) as locationid", "string(2020 + id % 3) as year", "lpad(string(1 + id % 12), 2, '0') as month")
+stored._half_year_archive(given, rows, f"{root}/archive")
+told = ingest.ingest(spark, f"{root}/archive", f"{root}/landed").agg({"copied": "sum"}).first()[0]
+landed = ingest.read_landed(spark, f"{root}/landed").count()
+spark.stop()
+
+def nodes(plan):
+    return [plan["nodeName"]] + [name for child in plan["children"] for name in nodes(child)]
+
+found = []
+for line in open(next((root / "events").iterdir())):
+    plan = json.loads(line).get("sparkPlanInfo")
+    names = nodes(plan) if plan else []
+    if "WriteFiles" in names and any(name.startswith("Scan csv") or name in ("Range", "Exchange") for name in names):
+        found.append(names)
+print(json.dumps([told, landed, len(list((root / "archive").rglob("*.gz"))), found]))
+"""
+
+
+def test_folders_are_written_without_sorting_the_rows(tmp_path):
+    """A sort by folder holds a task's rows in memory, which grow with the archive."""
+    root = pathlib.Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", PLANS, str(tmp_path)], cwd=root, capture_output=True, text=True, timeout=300)
+    told, landed, written, plans = json.loads(done.stdout.strip().splitlines()[-1])
+    assert told == written == 30 and landed == 20000
+    big = [names for names in plans if "Range" in names or any(name.startswith("Scan csv") for name in names)]
+    assert len(big) >= 2 and not [names for names in big if "Sort" in names]
